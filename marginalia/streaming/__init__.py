@@ -1,0 +1 @@
+"""Empty on purpose: every operation here is a batch job, none reads a stream."""

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 SENTENCE_END = r"\."
 WORD_BREAK = "[ ']"
+CONTROLS = "".join(map(chr, range(ord(" ") + 1)))
 
 
 def trim_controls(text: Column) -> Column:
     """Strip every character up to the blank from both ends, not blanks alone."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.btrim(text, F.lit(CONTROLS))
 
 
 def sentence_texts(text: Column) -> Column:

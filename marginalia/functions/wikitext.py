@@ -23,7 +23,7 @@ LINK_PARENTHESIS = r"(\[\[[^\]]*?)\([^\]]*?\)(.*?\]\])"
 LINK_LABEL = r"\[\[[^\]]+?\|(.+?)\]\]"
 NAMESPACED_LINK = r"\[\[[^\]]*?:[^\]]*?\]\]"
 LINK = r"\[\[(.+?)\]\]"
-PUNCTUATION = ",;:(|)"
+PUNCTUATION = r"[,;:(|)]"
 BLANKS = r" {2,}"
 TEMPLATE_ROUNDS = 11
 
@@ -35,10 +35,10 @@ def strip_tags(text: Column) -> Column:
     unpaired tags. So the pattern is built per page from the labels that are closed somewhere
     on it, and only those open tags search for their end.
     """
-    closed = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?=</([^>]*)>)"), 1))
+    closed = F.array_distinct(F.regexp_extract_all(text, F.lit(r"</(?=([^>]*)>)"), 1))
     quoted = F.transform(closed, lambda c: F.regexp_replace(c, r"([^\p{L}\p{N}\s])", r"\\$1"))
-    paired = F.concat(F.lit(r"(?s)<("), F.array_join(quoted, "|"), F.lit(r")>(?:.*?</\1>)?|<[^>]*>"))
-    return F.regexp_replace(text, F.when(F.size(closed) > 0, paired).otherwise(r"<[^>]*>"), F.lit(""))
+    paired = F.concat(F.lit("(?s)<(?:("), F.array_join(quoted, "|"), F.lit(r")>(?:.*?</\1>)?|[^>]*>)"))
+    return F.regexp_replace(text, F.when(F.size(closed) > 0, paired).otherwise("<[^>]*>"), F.lit(""))
 
 
 def _strip_tags_one_page(text: str) -> str:
@@ -97,7 +97,7 @@ def drop_bullets(text: Column) -> Column:
 
 
 def join_lines(text: Column) -> Column:
-    return F.translate(text, "\n", " ")
+    return F.replace(text, F.lit("\n"), F.lit(" "))
 
 
 def keep_dates(text: Column) -> Column:
@@ -136,7 +136,7 @@ def unwrap_links(text: Column) -> Column:
 
 
 def blank_punctuation(text: Column) -> Column:
-    return F.translate(text, PUNCTUATION, " " * len(PUNCTUATION))
+    return F.regexp_replace(text, PUNCTUATION, " ")
 
 
 def collapse_blanks(text: Column) -> Column:
@@ -148,7 +148,7 @@ def collapse_dots(text: Column) -> Column:
 
 
 def straighten_apostrophes(text: Column) -> Column:
-    return F.translate(text, "’", "'")
+    return F.replace(text, F.lit("’"), F.lit("'"))
 
 
 # The order is part of the meaning of a cleaned page.

@@ -163,10 +163,14 @@ def top_rank_ids(
 
 
 def top_rank_subgraph(
-    graph: Graph, ranks: DataFrame, k: int = TOP, neighbour_order: str = "asc"
+    graph: Graph, ranks: DataFrame, scratch: Scratch, k: int = TOP, neighbour_order: str = "asc"
 ) -> Graph:
-    """The graph between the best-ranked vertices and their neighbours."""
-    return induced_subgraph(graph, F.broadcast(top_rank_ids(graph, ranks, k, neighbour_order)))
+    """The graph between the best-ranked vertices and their neighbours.
+
+    The few ids are written first, as three joins need them.
+    """
+    ids = scratch.keep(top_rank_ids(graph, ranks, k, neighbour_order), "top_rank_ids")
+    return induced_subgraph(graph, F.broadcast(ids))
 
 
 def viewable(graph: Graph) -> Graph:

@@ -13,6 +13,7 @@ from marginalia.operators import pages as page_ops
 from marginalia.operators.corpus import sentences, vocabulary_counts
 from marginalia.operators.graph import Graph, build_graph
 from marginalia.scratch import Scratch
+from marginalia.sources.dump import spread_out
 
 # One page per document. Pages link within blocks of ten; every third block also links to one
 # hub page and, by section, to nowhere. So a third of the pages share a link target, and the
@@ -70,7 +71,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wikitext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(WIKITEXT_SQL, documents=table(spark, sf_dir, "documents"))
+    documents = spread_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spark.sql(WIKITEXT_SQL, documents=documents)
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,8 +54,9 @@ def best_ranked_graph(
     neighbour_order: str = "asc",
 ) -> Graph:
     """The graph between the best-ranked vertices and their neighbours, for viewing."""
-    ranks = rank.page_rank(graph.edges, Scratch(graph.edges.sparkSession), tol, max_iter)
-    return rank.viewable(rank.top_rank_subgraph(graph, ranks, k, neighbour_order))
+    scratch = Scratch(graph.edges.sparkSession)
+    ranks = rank.page_rank(graph.edges, scratch, tol, max_iter)
+    return rank.viewable(rank.top_rank_subgraph(graph, ranks, scratch, k, neighbour_order))
 
 
 def count_communities(graph: Graph) -> DataFrame:

@@ -33,6 +33,16 @@ PAGE_START, PAGE_END = "<page>", "</page>"
 XML_OPTIONS = {"rowTag": "page", "ignoreSurroundingSpaces": "false"}
 
 
+def spread_out(rows: DataFrame) -> DataFrame:
+    """Deal the rows of a source that has few splits out over all cores.
+
+    Cleaning costs far more than reading, and one compressed dump or one row group would keep
+    it all in one task. A source with splits enough is left as it is.
+    """
+    width = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(width) if 2 * rows.rdd.getNumPartitions() <= width else rows
+
+
 def scan_dump(spark: SparkSession, path: str) -> DataFrame:
     """``(title, ns, text)``, one row per page element, in as many tasks as the file has splits.
 
@@ -43,7 +53,7 @@ def scan_dump(spark: SparkSession, path: str) -> DataFrame:
     start = F.instr("value", PAGE_START)
     page = F.concat(F.expr(f"substring(value, instr(value, '{PAGE_START}'))"), F.lit(PAGE_END))
     return (
-        records.filter(start > 0)
+        spread_out(records.filter(start > 0))
         .select(F.from_xml(page, PAGE_SCHEMA, XML_OPTIONS).alias("page"))
         .select("page.title", "page.ns", F.col("page.revision.text._VALUE").alias("text"))
     )

@@ -5,6 +5,7 @@ Only ``tag_mode="compat"`` runs Python; everything else stays inside the JVM.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -41,7 +42,19 @@ def strip_tags(text: Column) -> Column:
     return F.regexp_replace(text, F.when(F.size(closed) > 0, paired).otherwise("<[^>]*>"), F.lit(""))
 
 
-def _strip_tags_one_page(text: str) -> str:
+def _as_units(text: str) -> str:
+    """One character per UTF-16 unit, surrogate pairs taken apart."""
+    units = memoryview(text.encode("utf-16-le")).cast("H")
+    return "".join(map(chr, units))
+
+
+def _from_units(units: str) -> str:
+    """Pairs put together again; a half that lost its other half becomes a question mark."""
+    text = units.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "surrogatepass")
+    return re.sub("[\ud800-\udfff]", "?", text)
+
+
+def _cut_tags(text: str) -> str:
     """Tag removal that takes one more character on each side of the tag, and gives up on
     the first tag it cannot delete (at the very start, or with nothing behind its end)."""
     kept: list[str] = []
@@ -62,17 +75,20 @@ def _strip_tags_one_page(text: str) -> str:
             kept.append(text[at:opened])
         if not kept or resume > len(text):
             return "".join(kept) + text[opened:]
-        last = kept.pop()
-        # Half of a surrogate pair survives where the lost character needs two UTF-16 units.
-        last = last[:-1] + ("?" if last[-1] > "\uffff" else "")
+        last = kept.pop()[:-1]
         if last:
             kept.append(last)
-        if closed_at >= 0 and text[resume - 1] > "\uffff":
-            kept.append("?")
         at = resume
     return "".join(kept) + text[at:]
 
 
+def _strip_tags_one_page(text: str) -> str:
+    """The characters that get lost are UTF-16 units."""
+    if text.isascii() or max(text) <= "\uffff":
+        return _cut_tags(text)
+    return _from_units(_cut_tags(_as_units(text)))
+
+
 @F.pandas_udf(StringType())
 def strip_tags_compat(text: pd.Series) -> pd.Series:
     return text.map(_strip_tags_one_page, na_action="ignore")

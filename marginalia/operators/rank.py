@@ -73,6 +73,7 @@ def page_rank(
         .sortWithinPartitions("src", SALT)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    laid_out.count()  # only a filled cache tells the planner how it is partitioned
 
     def one_round(state: DataFrame) -> DataFrame:
         copies = state.select(

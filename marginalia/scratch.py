@@ -15,10 +15,11 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may go without one: it gets a temporary folder.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder and spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not folder and context.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="marginalia-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
+        context.setCheckpointDir(folder)
     if not folder:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return folder.rstrip("/")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import plan
 from marginalia.operators import pages as page_ops
 from marginalia.plans import mining
-from marginalia.scratch import CHECKPOINT_DIR, Scratch, shared_folder
+from marginalia.scratch import Scratch, shared_folder
 from marginalia.sources import dump, store
 
 DUMP = """<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" version="0.10" xml:lang="fr">
@@ -99,12 +99,26 @@ def test_counting_pages_cleans_nothing(spark, dump_file):
     assert "regexp" not in plan(page_ops.page_count(mining.read_pages(spark, dump_file)))
 
 
-def test_scratch_folder(spark):
-    before = spark.conf.get(CHECKPOINT_DIR, None)
-    try:
-        spark.conf.set(CHECKPOINT_DIR, "/tmp/some-shared/")
-        assert Scratch(spark).path.startswith("/tmp/some-shared/")
-        spark.conf.unset(CHECKPOINT_DIR)
-        assert shared_folder(spark) == shared_folder(spark)
-    finally:
-        spark.conf.set(CHECKPOINT_DIR, before) if before else spark.conf.unset(CHECKPOINT_DIR)
+class Session:
+    """Stands in for sessions of other masters and settings."""
+
+    def __init__(self, master, setting=None):
+        self.master, self.setting, self.folder = master, setting, None
+        self.sparkContext = self.conf = self
+
+    def get(self, key, default):
+        return self.setting or default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_folder():
+    assert Scratch(Session("yarn", "hdfs://host/shared/")).path.startswith("hdfs://host/shared/")
+    with pytest.raises(ValueError):
+        shared_folder(Session("yarn"))
+    local = Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder

@@ -29,8 +29,10 @@ NEAREST = 20
 # digits leaves such ties to the word.
 SORT_DIGITS = 9
 
-# Up to this many numbers in query vectors go along with every task (16 MiB of doubles).
+# Up to this many numbers go along with every task: in query vectors (16 MiB of doubles),
+# and in a vector table (64 MiB).
 SHIPPED_NUMBERS = 1 << 21
+SHIPPED_TABLE_NUMBERS = 1 << 23
 SLICE_WORDS = 20_000
 
 MATCH_SCHEMA = "query_id bigint, word string, similarity double"
@@ -221,12 +223,23 @@ def word_query(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
     return similar_words(query_vectors(query_terms(queries), vectors), vectors, n)
 
 
-def document_vectors(documents: DataFrame, vectors: DataFrame) -> DataFrame:
+def document_vectors(
+    documents: DataFrame, vectors: DataFrame, shipped_numbers: int = SHIPPED_TABLE_NUMBERS
+) -> DataFrame:
     """``(doc_id, vector)`` from ``documents(doc_id, tokens)``: the mean over all tokens, where
-    an unknown one counts as the null vector."""
+    an unknown one counts as the null vector.
+
+    A vector table small enough goes to every task, and only sums are shuffled. Otherwise the
+    tokens are counted per document and then meet their vectors, frequent words split.
+    """
     tokens = documents.select("doc_id", F.explode_outer("tokens").alias("word"))
-    counts = tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-    found = look_up(counts, vectors, "word", how="left")
+    numbers = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
+    if numbers[0] * (numbers[1] or 0) <= shipped_numbers:
+        found = tokens.join(F.broadcast(vectors), "word", "left").withColumn("n", F.lit(1))
+    else:
+        counts = tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+        frequent = tokens.groupBy("word").agg(F.count("*").alias("n"))
+        found = look_up(counts, vectors, "word", how="left", counts=frequent)
     vector = array_to_vector(F.coalesce("vector", _zeros(vectors)))
     return found.groupBy("doc_id").agg(
         vector_to_array(Summarizer.mean(vector, F.col("n").cast("double"))).alias("vector")

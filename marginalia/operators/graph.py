@@ -64,15 +64,14 @@ def graph_size(graph: Graph) -> DataFrame:
     return graph.edges.agg(F.count("*").alias("edges")).withColumn("vertices", vertices.scalar())
 
 
-def with_vertex(edges: DataFrame, vertices: DataFrame, end: str) -> DataFrame:
-    """Add the attributes of the vertex at that end, each prefixed with the end's name."""
-    attributes = [F.col(c).alias(end if c == "id" else f"{end}_{c}") for c in vertices.columns]
-    return look_up(edges, vertices.select(*attributes), end)
-
-
 def triplets(graph: Graph) -> DataFrame:
-    """Each edge with the attributes of both its vertices."""
-    return with_vertex(with_vertex(graph.edges, graph.vertices, "src"), graph.vertices, "dst")
+    """Each edge with the attributes of both its vertices, prefixed ``src_`` and ``dst_``."""
+    found = graph.edges
+    for end in ("src", "dst"):
+        names = [F.col(c).alias(end if c == "id" else f"{end}_{c}") for c in graph.vertices.columns]
+        counts = graph.edges.groupBy(end).agg(F.count("*").alias("n"))
+        found = look_up(found, graph.vertices.select(*names), end, counts=counts)
+    return found
 
 
 def with_default_vertices(graph: Graph, **defaults: str) -> Graph:
@@ -115,9 +114,19 @@ def neighbour_ids(edges: DataFrame) -> DataFrame:
     return both_directions(edges).groupBy("id", "neighbour").agg(F.count("*").alias("n"))
 
 
-def induced_subgraph(graph: Graph, ids: DataFrame) -> Graph:
-    """Vertices in ``ids(id)``, and the edges that have both ends among them."""
+def induced_subgraph(graph: Graph, ids: DataFrame, few: bool = False) -> Graph:
+    """Vertices in ``ids(id)``, and the edges that have both ends among them.
+
+    ``few`` says that the ids are known to be a handful: then nothing else is shuffled.
+    """
+    if few:
+        ids = F.broadcast(ids)
     edges = graph.edges
     for end in ("src", "dst"):
-        edges = edges.join(ids.select(F.col("id").alias(end)), end, "left_semi")
+        wanted = ids.select(F.col("id").alias(end))
+        if few:
+            edges = edges.join(wanted, end, "left_semi")
+        else:
+            counts = graph.edges.groupBy(end).agg(F.count("*").alias("n"))
+            edges = look_up(edges, wanted, end, "left_semi", counts)
     return Graph(graph.vertices.join(ids, "id", "left_semi"), edges.select(*graph.edges.columns))

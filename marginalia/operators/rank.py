@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginalia.operators.graph import Graph, both_directions, edge_ends, induced_subgraph
-from marginalia.operators.skew import SALT, SPLITS, hot_keys, look_up, salt_rows, shuffle_width
+from marginalia.operators.skew import SALT, SPLITS, hot_keys, salt_rows, shuffle_width
 from marginalia.scratch import Scratch
 
 TOLERANCE = 0.0001
@@ -31,8 +31,12 @@ def _rank_edges(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     pairs = scratch.keep(edges.groupBy("src", "dst").agg(F.count("*").alias("n")), "pairs")
     out = pairs.groupBy("src").agg(F.sum("n").alias("out_degree"), F.count("*").alias("rows"))
     hot = hot_keys(out, "src", "rows", pieces)
-
-    sources = out.join(F.broadcast(hot), "src", "left")
+    if hot is None:
+        sources = out.withColumn(SPLITS, F.lit(1))
+        salted = pairs.withColumn(SALT, F.lit(0))
+    else:
+        sources = out.join(F.broadcast(hot), "src", "left")
+        salted = salt_rows(pairs, "src", hot, ["dst"])
     vertices = scratch.keep(
         edge_ends(pairs, "id")
         .distinct()
@@ -44,8 +48,7 @@ def _rank_edges(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
         F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0).cast("bigint").alias("n"),
         F.lit(0).alias(SALT), "out_degree", SPLITS,
     )
-    rows = salt_rows(pairs, "src", hot, ["dst"]).unionByName(keepers, allowMissingColumns=True)
-    return rows, vertices
+    return salted.unionByName(keepers, allowMissingColumns=True), vertices
 
 
 def page_rank(
@@ -138,7 +141,8 @@ def top_neighbours(
         raise ValueError(f"neighbour_order must be 'asc' or 'desc', not {neighbour_order!r}")
     around = both_directions(edges).join(F.broadcast(top.select("id")), "id", "left_semi")
     counts = around.groupBy("id", "neighbour").agg(F.count("*").alias("n"))
-    found = look_up(counts, ranked.withColumnRenamed("id", "neighbour"), "neighbour")
+    # A neighbour has one row per vertex in top, so no key of this join is hot.
+    found = counts.join(ranked.withColumnRenamed("id", "neighbour"), "neighbour")
     # No neighbour can take more than k places.
     places = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)))))
     order = Window.partitionBy("id").orderBy(*_by_rank(neighbour_order == "asc"))
@@ -171,7 +175,7 @@ def top_rank_subgraph(
     The few ids are written first, as three joins need them.
     """
     ids = scratch.keep(top_rank_ids(graph, ranks, k, neighbour_order), "top_rank_ids")
-    return induced_subgraph(graph, F.broadcast(ids))
+    return induced_subgraph(graph, ids, few=True)
 
 
 def viewable(graph: Graph) -> Graph:

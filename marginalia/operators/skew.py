@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from math import ceil
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 SALT = "_salt"
 SPLITS = "_splits"
@@ -13,18 +16,27 @@ def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, pieces: int) -> DataFrame:
-    """``(key, _splits)`` for keys that hold more than one ``pieces``-th of all rows.
+def hot_keys(counts: DataFrame, key: str, n: str, pieces: int) -> DataFrame | None:
+    """``(key, _splits)`` for keys that hold more than one ``pieces``-th of all rows, or None.
 
-    Fewer than ``pieces`` keys can do so, which bounds the table for a broadcast. A key is
-    split into parts of about one ``pieces``-th of the rows each.
+    Fewer than ``pieces`` keys can do so, which bounds both what comes to the driver and what
+    is broadcast. A key is split into parts of about one ``pieces``-th of the rows each. One
+    pass over the counts finds the total along with the largest.
     """
-    total = counts.agg(F.sum(n))
-    return (
-        counts.withColumn("_share", F.col(n) * F.lit(pieces) / total.scalar())
-        .filter(F.col("_share") > 1)
-        .select(key, F.ceil("_share").cast("int").alias(SPLITS))
+    seen = Observation()
+    largest = (
+        counts.select(key, n)
+        .observe(seen, F.sum(n).alias("rows"))
+        .orderBy(F.desc(n))
+        .limit(pieces)
+        .collect()
     )
+    share = (seen.get["rows"] or 0) / pieces
+    hot = [(row[key], ceil(row[n] / share)) for row in largest if row[n] > share]
+    if not hot:
+        return None
+    schema = StructType([counts.schema[key], StructField(SPLITS, IntegerType())])
+    return counts.sparkSession.createDataFrame(hot, schema)
 
 
 def salt_rows(rows: DataFrame, key: str, hot: DataFrame, spread: list[str]) -> DataFrame:
@@ -61,12 +73,14 @@ def look_up(
 ) -> DataFrame:
     """Join ``rows`` with ``lookup`` (one row per key) on ``key``, hot keys split over tasks.
 
-    ``counts(key, n)`` saves a counting pass where the number of rows per key is known.
+    ``counts(key, n)`` saves a counting pass where the number of rows per key is known, if
+    only about: it decides what is split, not what is found.
     """
-    pieces = pieces or shuffle_width(rows)
     if counts is None:
         counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    hot = hot_keys(counts, key, "n", pieces)
+    hot = hot_keys(counts, key, "n", pieces or shuffle_width(rows))
+    if hot is None:
+        return rows.join(lookup, key, how)
     spread = [c for c in rows.columns if c != key]
     salted = salt_rows(rows, key, hot, spread)
     return salted.join(salt_copies(lookup, key, hot), [key, SALT], how).drop(SALT)

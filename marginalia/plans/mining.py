@@ -78,7 +78,7 @@ def embed_lines(
 
 
 def answer(vectors: DataFrame, query: str, n: int) -> DataFrame:
-    """``(word, similarity)`` for one query such as ``homme + politique - allemagne``."""
+    """``(word, similarity)`` for one query such as ``roi + femme - homme``."""
     asked = vectors.sparkSession.createDataFrame([(0, query)], "query_id bigint, expr string")
     return embedding.word_query(asked, vectors, n).orderBy("place").select("word", "similarity")
 

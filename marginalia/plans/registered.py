@@ -304,6 +304,7 @@ def components(spark, sf_dir):
     scratch = Scratch(spark)
     built = inputs.link_graph(spark, sf_dir, scratch)
     found = connected_components(built.edges, scratch).join(built.vertices, "id")
+    found = scratch.keep(found, "components")
     first = found.groupBy("component").agg(F.min("label").alias("component_label"))
     return look_up(found, first, "component").select("label", "component_label")
 

@@ -195,6 +195,8 @@ def test_look_up_splits_hot_keys(plain, how):
     counts = rows.groupBy("key").agg(F.count("*").alias("n"))
     hot = skew.hot_keys(counts, "key", "n", 8)
     assert [tuple(r) for r in hot.collect()] == [(-1, 3)]
+    assert skew.hot_keys(counts.filter("key > 0"), "key", "n", 8) is None
+    assert skew.hot_keys(counts.filter("key < -1"), "key", "n", 8) is None
     salted = skew.salt_rows(rows, "key", hot, ["value"]).filter("key = -1")
     shares = [r["count"] for r in salted.groupBy(skew.SALT).count().collect()]
     assert len(shares) == 3 and max(shares) < 600

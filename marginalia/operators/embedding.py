@@ -233,17 +233,18 @@ def document_vectors(
     tokens are counted per document and then meet their vectors, frequent words split.
     """
     tokens = documents.select("doc_id", F.explode_outer("tokens").alias("word"))
-    numbers = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
-    if numbers[0] * (numbers[1] or 0) <= shipped_numbers:
+    size = vectors.agg(F.count("*").alias("words"), F.max(F.size("vector")).alias("dimension")).first()
+    dimension = size.dimension or 0
+    if size.words * dimension <= shipped_numbers:
         found = tokens.join(F.broadcast(vectors), "word", "left").withColumn("n", F.lit(1))
     else:
         counts = tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
         frequent = tokens.groupBy("word").agg(F.count("*").alias("n"))
         found = look_up(counts, vectors, "word", how="left", counts=frequent)
-    vector = array_to_vector(F.coalesce("vector", _zeros(vectors)))
-    return found.groupBy("doc_id").agg(
-        vector_to_array(Summarizer.mean(vector, F.col("n").cast("double"))).alias("vector")
-    )
+    # One sum per place: sums of numbers aggregate by hash, sums of whole vectors by sorting.
+    sums = [F.sum(F.get("vector", F.lit(i)) * F.col("n")) for i in range(dimension)]
+    means = [F.coalesce(total, F.lit(0.0)) / F.sum("n") for total in sums]
+    return found.groupBy("doc_id").agg(F.array(*means).cast("array<double>").alias("vector"))
 
 
 def nearest_euclid(words: DataFrame, vectors: DataFrame, target: str, n: int = NEAREST) -> DataFrame:

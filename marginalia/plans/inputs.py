@@ -75,6 +75,12 @@ def wikitext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(WIKITEXT_SQL, documents=documents)
 
 
+def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(doc_id, tokens)`` with the blank-parted words of every document."""
+    documents = spread_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", F.split(F.lower("text"), " ").alias("tokens"))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_ops.articles(wikitext(spark, sf_dir))
 

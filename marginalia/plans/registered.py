@@ -391,10 +391,7 @@ def nearest_euclid(spark, sf_dir):
 @query
 def document_vectors(spark, sf_dir):
     known = inputs.word_vectors(spark, sf_dir, Scratch(spark))
-    tokens = inputs.table(spark, sf_dir, "documents").select(
-        "doc_id", F.split(F.lower("text"), " ").alias("tokens")
-    )
-    found = embedding.document_vectors(tokens, known)
+    found = embedding.document_vectors(inputs.document_tokens(spark, sf_dir), known)
     values = found.select("doc_id", F.posexplode("vector").alias("place", "value"))
     return values.select("doc_id", "place", _rounded("value"))
 

@@ -94,10 +94,20 @@ def strip_tags_compat(text: pd.Series) -> pd.Series:
     return text.map(_strip_tags_one_page, na_action="ignore")
 
 
+def _where(text: Column, mark: str, step: Callable[[Column], Column], rounds: int = 1) -> Column:
+    """Apply a step to pages that hold the mark its pattern needs. The mark is looked for again
+    before each round; the text is computed once, as the state of the aggregate."""
+    return F.aggregate(
+        F.array(*[F.lit(i) for i in range(rounds)]),
+        text,
+        lambda t, _: F.when(t.contains(mark), step(t)).otherwise(t),
+    )
+
+
 def drop_move_info(text: Column) -> Column:
     """``[[Lyon]] foo ([move])`` becomes ``[[Lyon]]``. The lookahead changes no match: it lets
-    links on lines without ``([`` fail at once."""
-    return F.regexp_replace(text, MOVE_INFO, "$1")
+    links on lines without ``([`` fail early."""
+    return _where(text, "([", lambda t: F.regexp_replace(t, MOVE_INFO, "$1"))
 
 
 def drop_headers(text: Column) -> Column:
@@ -117,22 +127,16 @@ def join_lines(text: Column) -> Column:
 
 
 def keep_dates(text: Column) -> Column:
-    return F.regexp_replace(text, DATE, "$1")
+    return _where(text, "{{Date", lambda t: F.regexp_replace(t, DATE, "$1"))
 
 
 def drop_templates(text: Column) -> Column:
-    """Innermost templates first, a fixed number of rounds; a page without braces left skips
-    the rest of the rounds."""
-    rounds = F.array(*[F.lit(i) for i in range(TEMPLATE_ROUNDS)])
-    return F.aggregate(
-        rounds,
-        text,
-        lambda t, _: F.when(t.contains("{{"), F.regexp_replace(t, TEMPLATE, "")).otherwise(t),
-    )
+    """Innermost templates first, a fixed number of rounds; deeper ones stay."""
+    return _where(text, "{{", lambda t: F.regexp_replace(t, TEMPLATE, ""), TEMPLATE_ROUNDS)
 
 
 def drop_escaped_refs(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED_REF, "")
+    return _where(text, "&lt;ref&gt;", lambda t: F.regexp_replace(t, ESCAPED_REF, ""))
 
 
 def drop_link_parenthesis(text: Column) -> Column:

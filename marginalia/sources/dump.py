@@ -48,14 +48,16 @@ def scan_dump(spark: SparkSession, path: str) -> DataFrame:
 
     The XML reader takes one big file in a single task, while the text reader splits it at any
     record separator. So the end tag parts the records, and each record is parsed on its own.
+    The parsed record comes out of a generator: a filter on it cannot move below and parse the
+    record once more.
     """
     records = spark.read.option("lineSep", PAGE_END).text(path)
     start = F.instr("value", PAGE_START)
     page = F.concat(F.expr(f"substring(value, instr(value, '{PAGE_START}'))"), F.lit(PAGE_END))
     return (
         spread_out(records.filter(start > 0))
-        .select(F.from_xml(page, PAGE_SCHEMA, XML_OPTIONS).alias("page"))
-        .select("page.title", "page.ns", F.col("page.revision.text._VALUE").alias("text"))
+        .select(F.inline(F.array(F.from_xml(page, PAGE_SCHEMA, XML_OPTIONS))))
+        .select("title", "ns", F.col("revision.text._VALUE").alias("text"))
     )
 
 

@@ -95,6 +95,11 @@ def test_lookup_reaches_the_scan(spark, dump_file, tmp_path):
     assert "text" not in count.split("ReadSchema")[1]
 
 
+def test_records_are_parsed_once(spark, dump_file):
+    raw = page_ops.articles(dump.scan_dump(spark, dump_file))
+    assert plan(page_ops.with_links_and_clean_text(raw)).count("from_xml") == 1
+
+
 def test_counting_pages_cleans_nothing(spark, dump_file):
     assert "regexp" not in plan(page_ops.page_count(mining.read_pages(spark, dump_file)))
 

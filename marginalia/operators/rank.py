@@ -18,6 +18,7 @@ TOP = 10
 # leaves such ties to the label.
 SORT_DIGITS = 9
 ROUNDS_PER_WRITE = 5
+FEW_ROWS_PER_TASK = 2_000
 
 
 def _rank_edges(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -65,18 +66,18 @@ def page_rank(
     The rank of a vertex without links out is not handed on.
 
     The edges are laid out once by source, hub sources split, and kept that way: a round
-    shuffles the ranks and the partial sums, never the edges.
+    shuffles the ranks and the partial sums, never the edges. A graph that leaves the
+    tasks few rows is left to the planner instead.
     """
     if tol is None and max_iter is None:
         raise ValueError("give tol, max_iter or both")
-    rows, vertices = _rank_edges(edges, scratch)
+    laid_out, vertices = _rank_edges(edges, scratch)
     width = shuffle_width(edges)
-    laid_out = (
-        rows.repartition(width, "src", SALT)
-        .sortWithinPartitions("src", SALT)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    laid_out.count()  # only a filled cache tells the planner how it is partitioned
+    if laid_out.count() > FEW_ROWS_PER_TASK * width:
+        laid_out = laid_out.repartition(width, "src", SALT)
+        laid_out = laid_out.sortWithinPartitions("src", SALT)
+    laid_out = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
+    laid_out.count()  # only a filled cache tells the planner its size and partitioning
 
     def one_round(state: DataFrame) -> DataFrame:
         copies = state.select(

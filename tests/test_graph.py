@@ -54,15 +54,17 @@ def power_rounds(edges, rounds):
     return ranks
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 7])
-def test_page_rank_rounds(graph, links, scratch, rounds):
+@pytest.mark.parametrize("rounds, few", [(0, 0), (1, 0), (7, 0), (7, 100)])
+def test_page_rank_rounds(graph, links, scratch, rounds, few, monkeypatch):
+    monkeypatch.setattr(rank, "FEW_ROWS_PER_TASK", few)
     want = power_rounds([tuple(r) for r in links.collect()], rounds)
     found = ranks_by_label(graph, rank.page_rank(graph.edges, scratch, tol=None, max_iter=rounds))
     assert found == pytest.approx(want)
 
 
-def test_page_rank_with_a_hub(plain, scratch):
+def test_page_rank_with_a_hub(plain, scratch, monkeypatch):
     """Half of all edges leave one vertex: its rows are split, the result is the same."""
+    monkeypatch.setattr(rank, "FEW_ROWS_PER_TASK", 0)
     pairs = [(0, d) for d in range(1, 60)] + [(s, (s * 7) % 60) for s in range(1, 60)] + [(3, 3)]
     edges = plain.createDataFrame(pairs, "src bigint, dst bigint")
     rows, _ = rank._rank_edges(edges, scratch)
@@ -214,6 +216,7 @@ def test_hub_names_are_encoded_whole(plain, scratch):
 
 def test_edges_are_not_shuffled_in_a_round(plain, scratch, graph, monkeypatch):
     """The kept edges meet the ranks without an exchange of their own."""
+    monkeypatch.setattr(rank, "FEW_ROWS_PER_TASK", 0)
     plans = []
     keep = type(scratch).keep
 

@@ -57,14 +57,13 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         .distinct()
         .withColumn("moved", F.lit(False))
     )
-    pairs = scratch.keep(pairs, "pairs_0")
-    turn = 0
+    pairs = scratch.keep(pairs, "pairs")
     while True:
-        turn += 1
-        fresh = pairs.withColumn("moved", F.lit(False))
-        large = scratch.keep(_large_star(fresh), "large_star")
-        # Two tables in turn: a round reads the one and replaces the other.
-        pairs = scratch.keep(_small_star(large), f"small_star_{turn % 2}")
+        before = pairs
+        large = scratch.keep(_large_star(before.withColumn("moved", F.lit(False))), "large_star")
+        pairs = scratch.keep(_small_star(large), "small_star")
+        scratch.drop(before)
+        scratch.drop(large)
         if pairs.filter("moved").isEmpty():
             break
     roots = edge_ends(edges, "id").distinct()

@@ -99,15 +99,15 @@ def page_rank(
         )
 
     state = vertices.withColumn("rank", F.lit(reset))
-    done = writes = 0
+    done, written = 0, None
     while max_iter is None or done < max_iter:
         rounds = ROUNDS_PER_WRITE if max_iter is None else min(ROUNDS_PER_WRITE, max_iter - done)
         for _ in range(rounds):
             state = one_round(state)
         done += rounds
-        # Two tables in turn: a block of rounds reads the one and replaces the other.
-        state = scratch.keep(state, f"ranks_{writes % 2}")
-        writes += 1
+        written, before = scratch.keep(state, "ranks"), written
+        scratch.drop(before)
+        state = written
         if tol is not None:
             moved = state.agg(F.max(F.abs(F.col("rank") - F.col("before")))).first()[0]
             if moved is None or moved <= tol:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,34 +10,53 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session may go without one: it gets a temporary folder.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
-    if not folder and context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="marginalia-")
-        context.setCheckpointDir(folder)
+    """The folder every executor can reach, as the cluster names it."""
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return folder.rstrip("/")
 
 
 class Scratch:
-    """One run's own folder below the shared one.
+    """One run's own folder below the shared one; as a context manager it deletes it at the end.
 
     Reading back a written table cuts the lineage, survives the loss of executors and fixes
-    whatever the plan before left open, such as generated ids.
+    whatever the plan before left open, such as generated ids. Every call of ``file`` or
+    ``keep`` gets a fresh path, so results of earlier calls stay readable until they are
+    dropped or the scratch is closed.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{uuid4().hex}"
+        self._made = 0
 
-    def file(self, name: str) -> str:
-        return f"{self.path}/{name}"
+    def __enter__(self) -> Scratch:
+        return self
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.file(name))
-        return self.spark.read.schema(df.schema).parquet(self.file(name))
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def file(self, name: str) -> str:
+        self._made += 1
+        return f"{self.path}/{self._made:03d}_{name}"
+
+    def keep(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        path = self.file(name)
+        df.write.options(**options).parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        kept.scratch_path = path
+        return kept
+
+    def drop(self, df: DataFrame | None) -> None:
+        """Delete the table that ``keep`` returned; for rounds that nothing reads any more."""
+        if df is not None:
+            self._delete(df.scratch_path)
+
+    def close(self) -> None:
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

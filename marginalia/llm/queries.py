@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from marginalia.llm.bpe import document_tokens
 from marginalia.llm.hilbert import document_shards
 from marginalia.llm.tables import table
 from marginalia.llm.topk_search import embedding_search
@@ -49,3 +51,9 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@registered
+def op10_global_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return document_tokens(table(spark, sf_dir, "documents"), ranks, pattern, Scratch(spark))

@@ -48,6 +48,14 @@ class Scratch:
         kept.scratch_path = path
         return kept
 
+    def keep_bucketed(self, df: DataFrame, name: str, key: str, buckets: int, **options: str) -> DataFrame:
+        """As ``keep``, but joins and groups by ``key`` in as many partitions need no shuffle."""
+        path, table = self.file(name), f"scratch_{uuid4().hex}"
+        df.write.options(path=path, **options).bucketBy(buckets, key).saveAsTable(table)
+        kept = self.spark.table(table)
+        kept.scratch_path = path
+        return kept
+
     def drop(self, df: DataFrame | None) -> None:
         """Delete the table that ``keep`` returned; for rounds that nothing reads any more."""
         if df is not None:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marginalia.llm.bpe import document_tokens
 from marginalia.llm.hilbert import document_shards
+from marginalia.llm.packing import packed
 from marginalia.llm.tables import table
 from marginalia.llm.topk_search import embedding_search
 from marginalia.llm.warc import archive_pages
@@ -57,3 +58,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 def op10_global_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     return document_tokens(table(spark, sf_dir, "documents"), ranks, pattern, Scratch(spark))
+
+
+@registered
+def op8_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)

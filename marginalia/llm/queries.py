@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marginalia.llm.bpe import document_tokens
 from marginalia.llm.hilbert import document_shards
 from marginalia.llm.packing import packed
+from marginalia.llm.ranking import quality_scores
 from marginalia.llm.tables import table
 from marginalia.llm.topk_search import embedding_search
 from marginalia.llm.warc import archive_pages
@@ -63,3 +64,8 @@ def op10_global_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op8_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@registered
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

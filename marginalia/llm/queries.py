@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marginalia.llm.bpe import document_tokens
 from marginalia.llm.hilbert import document_shards
 from marginalia.llm.packing import packed
+from marginalia.llm.quotations import MAIL_SQL, link_quotations, mail
 from marginalia.llm.ranking import quality_scores
 from marginalia.llm.tables import table
 from marginalia.llm.topk_search import embedding_search
@@ -69,3 +70,55 @@ def op8_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered
+def op3_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(mail(table(spark, sf_dir, "conversations")), Scratch(spark))
+
+
+LLM_ORACLES["op3_quotation_threads"] = (
+    """
+WITH RECURSIVE mail AS (
+"""
+    + MAIL_SQL.format(conversations="conversations")
+    + r"""
+), lines AS (
+  SELECT conv_id, turn, role, i, lvl, body
+  FROM (
+    SELECT conv_id, turn, role, i, length(replace(replace(regexp_extract(line, '^[ \t]{0,3}((?:>[ \t]?)+)', 1), ' ', ''), chr(9), '')) AS lvl,
+      regexp_replace(line, '^[ \t]{0,3}((?:>[ \t]?)+)', '') AS body
+    FROM (SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM mail)
+  )
+  WHERE trim(body) <> ''
+), runs AS (
+  SELECT *, sum(CASE WHEN lvl IS DISTINCT FROM last THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, turn ORDER BY i) AS run
+  FROM (SELECT *, lag(lvl) OVER (PARTITION BY conv_id, turn ORDER BY i) AS last FROM lines)
+), passages AS (
+  SELECT conv_id, turn, run, min(lvl) AS lvl, string_agg(body, chr(10) ORDER BY i) AS body FROM runs GROUP BY 1, 2, 3
+), hashed AS (
+  SELECT conv_id, turn, run, lvl, md5(trim(regexp_replace(lower(body), '[ \t\r\n\f\x0B]+', ' ', 'g'))) AS h FROM passages
+), whole AS (
+  SELECT conv_id, turn, string_agg(body, chr(10) ORDER BY run) AS text FROM passages WHERE lvl = 0 GROUP BY 1, 2
+), spoken AS (
+  SELECT conv_id, turn, h FROM hashed WHERE lvl = 0
+  UNION SELECT conv_id, turn, md5(trim(regexp_replace(lower(text), '[ \t\r\n\f\x0B]+', ' ', 'g'))) FROM whole
+), linked AS (
+  SELECT q.conv_id, q.turn, q.run, q.lvl, max(s.turn) AS source
+  FROM hashed q LEFT JOIN spoken s ON q.conv_id = s.conv_id AND q.h = s.h AND s.turn < q.turn
+  WHERE q.lvl > 0 GROUP BY 1, 2, 3, 4
+), replies AS (
+  SELECT conv_id, turn, arg_min(source, run) FILTER (lvl = 1 AND source IS NOT NULL) AS parent_turn, count(source) AS n_linked, count(*) AS n_quotes
+  FROM linked GROUP BY 1, 2
+), threads AS (
+  SELECT m.conv_id, m.turn, m.role, r.parent_turn, coalesce(w.text, '') AS text, coalesce(r.n_linked, 0) AS n_linked, coalesce(r.n_quotes, 0) AS n_quotes
+  FROM mail m LEFT JOIN replies r ON m.conv_id = r.conv_id AND m.turn = r.turn LEFT JOIN whole w ON m.conv_id = w.conv_id AND m.turn = w.turn
+), placed AS (
+  SELECT conv_id, turn, turn AS root_turn, CAST(0 AS BIGINT) AS depth FROM threads WHERE parent_turn IS NULL
+  UNION ALL
+  SELECT t.conv_id, t.turn, p.root_turn, p.depth + 1 FROM threads t JOIN placed p ON t.conv_id = p.conv_id AND t.parent_turn = p.turn
+)
+SELECT t.conv_id, t.turn, t.role, t.parent_turn, p.root_turn, p.depth, CAST(t.n_quotes AS INTEGER) AS n_quotes, CAST(t.n_linked AS BIGINT) AS n_linked, t.text
+FROM threads t JOIN placed p ON t.conv_id = p.conv_id AND t.turn = p.turn
+"""
+)

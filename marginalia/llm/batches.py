@@ -52,3 +52,27 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     total = int(sizes.sum())
     before = np.repeat(np.cumsum(sizes) - sizes, sizes)
     return np.arange(total, dtype=np.int64) - before + np.repeat(starts, sizes)
+
+
+def pieces(data: np.ndarray, at: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs outside ``gap`` that cross no text: where they start and end, and their text."""
+    inside = ~gap
+    starts = inside & np.r_[True, gap[:-1]]
+    starts[at[:-1][at[:-1] < len(data)]] = inside[at[:-1][at[:-1] < len(data)]]
+    first = np.flatnonzero(starts)
+    ends = inside & np.r_[gap[1:], True]
+    last = at[1:][(at[1:] > 0)] - 1
+    ends[last] |= inside[last]
+    return first, np.flatnonzero(ends) + 1, np.searchsorted(at, first, "right") - 1
+
+
+def sequence_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of ``data[first:end]`` for each pair: prefix sums of a polynomial, scrambled."""
+    base = 0x9E3779B97F4A7C15
+    up = np.full(len(data) + 1, base, np.uint64)
+    down = np.full(len(data) + 1, pow(base, -1, 2**64), np.uint64)
+    up[0] = down[0] = 1
+    up, down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(mix(np.arange(256), 5)[data] * up[:-1], dtype=np.uint64, out=sums[1:])
+    return mix((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))

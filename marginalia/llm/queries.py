@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marginalia.llm.bpe import document_tokens
 from marginalia.llm.hilbert import document_shards
+from marginalia.llm.jaccard_join import near_documents
 from marginalia.llm.near_vectors import near_embeddings
 from marginalia.llm.packing import packed
 from marginalia.llm.quotations import MAIL_SQL, link_quotations, mail
@@ -128,3 +129,8 @@ FROM threads t JOIN placed p ON t.conv_id = p.conv_id AND t.turn = p.turn
 @registered
 def op7_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+@registered
+def op6_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents(table(spark, sf_dir, "documents"), Scratch(spark))

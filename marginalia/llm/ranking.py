@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.llm.batches import as_bytes, mix, slices
+from marginalia.llm.batches import as_bytes, mix, pieces, slices
 from marginalia.llm.tables import pick
 
 SAMPLE_ROWS = 20_000
@@ -47,18 +47,6 @@ def _shares(flags: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (total[at[1:]] - total[at[:-1]]) / np.maximum(sizes, 1)
 
 
-def _pieces(data: np.ndarray, at: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs outside ``gap`` that cross no text: where they start and end, and their text."""
-    inside = ~gap
-    starts = inside & np.r_[True, gap[:-1]]
-    starts[at[:-1][at[:-1] < len(data)]] = inside[at[:-1][at[:-1] < len(data)]]
-    first = np.flatnonzero(starts)
-    ends = inside & np.r_[gap[1:], True]
-    last = at[1:][(at[1:] > 0)] - 1
-    ends[last] |= inside[last]
-    return first, np.flatnonzero(ends) + 1, np.searchsorted(at, first, "right") - 1
-
-
 def _distinct(data: np.ndarray, first: np.ndarray, end: np.ndarray, owner: np.ndarray, texts: int):
     """Distinct shares per text, largest share of one value, and of values equal to the one before."""
     weight = mix(np.arange(256))[data]
@@ -103,7 +91,7 @@ def text_features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
         out[:, column[f"most_{name}"]] = most
     out[:, column["letter"]] = _shares(letter, at, sizes)
     out[:, column["high"]] = _shares(data >= 128, at, sizes)
-    first, end, owner = _pieces(data, at, (data <= 32))
+    first, end, owner = pieces(data, at, (data <= 32))
     words = np.bincount(owner, minlength=texts)
     length = np.bincount(owner, end - first, minlength=texts)
     out[:, column["log_words"]] = np.log1p(words)
@@ -111,7 +99,7 @@ def text_features(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     out[:, column["long_words"]] = np.bincount(owner[end - first > 20], minlength=texts) / np.maximum(words, 1)
     if len(first):
         out[:, column["distinct_words"]], out[:, column["top_word"]], out[:, column["same_as_last"]] = _distinct(data, first, end, owner, texts)
-    first, end, owner = _pieces(data, at, data == 10)
+    first, end, owner = pieces(data, at, data == 10)
     if len(first):
         out[:, column["distinct_lines"]] = _distinct(data, first, end, owner, texts)[0]
     out[:, column["line_length"]] = np.log1p(sizes / np.maximum(np.bincount(owner, minlength=texts), 1))

@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.llm.batches import as_bytes, mix, pieces, ragged, sequence_hashes, slices
@@ -35,6 +35,7 @@ PERCENT = 75
 RUN_BYTES = 12 << 20
 SIG_BYTES = 6
 DENSE = 128
+MOST_BITS = 2048
 
 BLANKS = np.zeros(256, bool)
 BLANKS[[0x20, *range(0x09, 0x0E)]] = True
@@ -119,6 +120,18 @@ def signatures(shingles: np.ndarray, band: int, differences: int) -> tuple[np.nd
     return np.unique(np.concatenate(both)), False
 
 
+def sketch_bits(band: int) -> int:
+    return min(max(1 << (band + 2), 64), MOST_BITS)
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each bit. Where two sketches differ, a shingle
+    is in one set only, so they differ in no more bits than the sets in shingles."""
+    bits = sketch_bits(bands(len(shingles))[0][0])
+    odd = np.bincount((mix(shingles, 41) % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _pack(array: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
 
@@ -128,14 +141,17 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
 
 
 def _sets(words: int):
-    """``(doc_id, n, high, low)`` of every document: the size and the key of its set."""
+    """``(doc_id, n, high, low, sketch)`` of every document: size, key and sketch of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             sets = shingle_sets(*as_bytes(part.column("text")), words)
             keys = np.array([set_key(s) for s in sets], np.int64).reshape(-1, 2)
-            columns = [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "high", "low"])
+            columns = [
+                part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]),
+                pa.array([sketch(s) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "high", "low", "sketch"])
 
     return run
 
@@ -287,13 +303,13 @@ def similar_documents(documents: DataFrame, scratch: Scratch, words: int = WORDS
     Sets are compared by 64-bit hashes of their shingles, equal sets by 128 bits of theirs.
 
     Equal sets are looked at once. Sets that share a signature are first compared with the smallest
-    of them; only where that leaves several components are all pairs between these compared. So
-    large groups of near copies cost about one comparison per document, and no link between
+    of them; only where that leaves several components are the pairs between these looked at, first by
+    their sketches. So large groups of near copies cost about one comparison per document, and no link between
     different components is lost.
     """
     known = documents.filter(F.col("doc_id").isNotNull())
-    sized = known.mapInArrow(_sets(words), "doc_id long, n long, high long, low long")
-    sized = sized.groupBy("doc_id").agg(F.min(F.struct("n", "high", "low")).alias("s")).select("doc_id", "s.*")
+    sized = known.mapInArrow(_sets(words), "doc_id long, n long, high long, low long, sketch array<bigint>")
+    sized = sized.groupBy("doc_id").agg(F.min(F.struct("n", "high", "low", "sketch")).alias("s")).select("doc_id", "s.*")
     sized = scratch.keep(sized, "sets")
     equal = ["n", "high", "low"]
     classes = sized.filter("n > 0").groupBy(*equal).agg(F.min("doc_id").alias("id"))
@@ -314,10 +330,14 @@ def similar_documents(documents: DataFrame, scratch: Scratch, words: int = WORDS
 
     grouped = used.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = grouped.groupBy("sig", "band").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least < most")
-    open_ones = scratch.keep(grouped.join(split.select("sig", "band"), ["sig", "band"]), "open")
-    other = open_ones.select("sig", "band", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("far"))
+    sketches = sized.select(F.col("doc_id").alias("id"), "sketch")
+    open_ones = grouped.join(split.select("sig", "band"), ["sig", "band"]).join(sketches, "id")
+    open_ones = scratch.keep(open_ones.withColumn("sketch", _folded("sketch", "band")), "open")
+    other = open_ones.select("sig", "band", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("far"), F.col("sketch").alias("other"))
+    unlike = F.aggregate(F.zip_with("sketch", "other", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
     rest = (
-        open_ones.join(other, ["sig", "band"]).filter((F.col("component") < F.col("far")) & near)
+        open_ones.join(other, ["sig", "band"])
+        .filter((F.col("component") < F.col("far")) & near & (7 * unlike <= F.col("n") + F.col("m")))
         .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
@@ -332,6 +352,14 @@ def similar_documents(documents: DataFrame, scratch: Scratch, words: int = WORDS
     )
 
 
+def _folded(name: str, band: str) -> Column:
+    """The sketch at the width of the band: a set of the next band has one of twice that width."""
+    wanted = F.least(F.greatest(F.pow(F.lit(2), F.col(band) + 2), F.lit(64)), F.lit(MOST_BITS)) / 64
+    half = (F.size(name) / 2).cast("int")
+    halves = F.zip_with(F.slice(name, F.lit(1), half), F.slice(name, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(name) > wanted, halves).otherwise(F.col(name))
+
+
 def _components(links: DataFrame, scratch: Scratch) -> DataFrame:
     return connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")), scratch)
 

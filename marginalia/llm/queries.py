@@ -12,6 +12,7 @@ from marginalia.llm.near_vectors import near_embeddings
 from marginalia.llm.packing import packed
 from marginalia.llm.quotations import MAIL_SQL, link_quotations, mail
 from marginalia.llm.ranking import quality_scores
+from marginalia.llm.suffix_dedup import repeats_removed
 from marginalia.llm.tables import table
 from marginalia.llm.topk_search import embedding_search
 from marginalia.llm.warc import archive_pages
@@ -134,3 +135,8 @@ def op7_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op6_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+@registered
+def op1_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_removed(table(spark, sf_dir, "documents"), Scratch(spark))

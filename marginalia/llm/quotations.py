@@ -99,19 +99,27 @@ def _latest_before(marks: DataFrame) -> DataFrame:
 
 
 def _depths(parents: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(conv_id, turn, root_turn, depth)`` by pointer jumping over ``(conv_id, turn, parent_turn)``."""
-    state = scratch.keep(
-        parents.select("conv_id", "turn", F.coalesce("parent_turn", "turn").alias("root_turn"), F.when(F.col("parent_turn").isNotNull(), 1).otherwise(0).cast("long").alias("depth")),
-        "depths",
-    )
+    """``(conv_id, turn, root_turn, depth)`` by pointer jumping over ``(conv_id, turn, parent_turn)``.
+
+    A message whose pointer has reached its root takes no part in further rounds.
+    """
+    final = F.col("parent_turn").isNull()
+    depth = F.when(final, 0).otherwise(1).cast("long").alias("depth")
+    start = parents.select("conv_id", "turn", F.coalesce("parent_turn", "turn").alias("root_turn"), depth, final.alias("final"))
+    state = scratch.keep(start, "depths")
+    done = state.filter("final")
     while True:
-        above = state.select(F.col("conv_id"), F.col("turn").alias("root_turn"), F.col("root_turn").alias("higher"), F.col("depth").alias("more"))
-        step = state.join(above, ["conv_id", "root_turn"]).select(
-            "conv_id", "turn", F.col("higher").alias("root_turn"), (F.col("depth") + F.col("more")).alias("depth"), (F.col("more") > 0).alias("moved")
+        moving = state.filter("not final")
+        if moving.isEmpty():
+            return done.drop("final")
+        above = done.unionByName(moving).select(
+            "conv_id", F.col("turn").alias("root_turn"), F.col("root_turn").alias("higher"), F.col("depth").alias("more"), F.col("final").alias("above_final")
+        )
+        step = moving.join(above, ["conv_id", "root_turn"]).select(
+            "conv_id", "turn", F.col("higher").alias("root_turn"), (F.col("depth") + F.col("more")).alias("depth"), F.col("above_final").alias("final")
         )
-        before, state = state.drop("moved"), scratch.keep(step, "depths")
-        if state.filter("moved").isEmpty():
-            return state.drop("moved")
+        state = scratch.keep(step, "depths")
+        done = done.unionByName(state.filter("final"))
 
 
 def link_quotations(messages: DataFrame, scratch: Scratch) -> DataFrame:

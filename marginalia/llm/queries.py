@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -140,3 +141,59 @@ def op6_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op1_bwt_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_removed(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+LLM_ORACLES["op6_partition_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingled AS (
+  SELECT doc_id, CASE
+      WHEN coalesce(len(w), 0) = 0 THEN []
+      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    END AS s
+  FROM words
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM shingled
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n - count(*) AS either, count(*) AS both
+  FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY 1, 2, a.n, b.n
+), links AS (
+  SELECT x, y FROM pairs WHERE 100 * both >= 75 * either UNION SELECT y, x FROM pairs WHERE 100 * both >= 75 * either
+), reach AS (
+  SELECT doc_id AS id, doc_id AS other FROM documents
+  UNION
+  SELECT r.id, l.y FROM reach r JOIN links l ON r.other = l.x
+)
+SELECT d.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN shingled s ON d.doc_id = s.doc_id JOIN reach r ON d.doc_id = r.id
+GROUP BY d.doc_id, len(s.s)
+"""
+LLM_ORACLES["op7_collision_counting"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT vec_id AS id, vec_id AS other FROM embeddings
+  UNION
+  SELECT r.id, l.y FROM reach r JOIN links l ON r.other = l.x
+), counts AS (
+  SELECT x, count(*) AS n FROM links GROUP BY 1
+)
+SELECT e.vec_id, CAST(coalesce(max(c.n), 0) AS BIGINT) AS n_links, min(r.other) AS component_id, min(r.other) = e.vec_id AS kept
+FROM embeddings e JOIN reach r ON e.vec_id = r.id LEFT JOIN counts c ON e.vec_id = c.x
+GROUP BY e.vec_id
+"""

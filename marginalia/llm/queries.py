@@ -162,11 +162,11 @@ WITH RECURSIVE words AS (
 ), items AS (
   SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM shingled
 ), pairs AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n - count(*) AS either, count(*) AS both
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n + b.n - count(*) AS total, count(*) AS shared
   FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
   GROUP BY 1, 2, a.n, b.n
 ), links AS (
-  SELECT x, y FROM pairs WHERE 100 * both >= 75 * either UNION SELECT y, x FROM pairs WHERE 100 * both >= 75 * either
+  SELECT x, y FROM pairs WHERE 100 * shared >= 75 * total UNION SELECT y, x FROM pairs WHERE 100 * shared >= 75 * total
 ), reach AS (
   SELECT doc_id AS id, doc_id AS other FROM documents
   UNION

@@ -401,7 +401,7 @@ def _removed(length: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             data, at = as_bytes(batch.column("text"))
-            runs = batch.column("runs")
+            runs = batch.column(RUNS)
             flat, many = runs.flatten(), runs.value_lengths().fill_null(0).to_numpy()
             ends = np.r_[0, np.cumsum(many)]
             starts, windows = flat.field("start").to_numpy(), flat.field("windows").to_numpy().astype(np.int64)
@@ -424,7 +424,7 @@ def _removed(length: int, keep_text: bool):
                 if at_chars >= 0:
                     chars = pa.array([len(t) for t in texts.to_pylist()], batch.column("n_chars").type)
                     new = new.set_column(at_chars, "n_chars", pa.compute.if_else(touched, chars, batch.column("n_chars")))
-                yield new.drop_columns(["runs"])
+                yield new.drop_columns([RUNS])
             else:
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -437,10 +437,13 @@ def _removed(length: int, keep_text: bool):
     return run
 
 
+RUNS = "_covered_windows"
+
+
 def _with_runs(documents: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     runs = covered_windows(pick(documents, doc_id="doc_id", text="text"), scratch, length)
-    of_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
-    return documents.join(of_doc, "doc_id", "left")
+    of_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias(RUNS))
+    return documents.join(of_doc, "doc_id", "left").select(*documents.columns, RUNS)
 
 
 def repeats_removed(documents: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
@@ -453,7 +456,7 @@ def repeats_removed(documents: DataFrame, scratch: Scratch, length: int = LENGTH
     """
     joined = _with_runs(pick(documents, doc_id="doc_id", text="text"), scratch, length)
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return joined.select("doc_id", "text", "runs").mapInArrow(_removed(length, False), out)
+    return joined.mapInArrow(_removed(length, False), out)
 
 
 def without_repeats(documents: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
@@ -461,5 +464,5 @@ def without_repeats(documents: DataFrame, scratch: Scratch, length: int = LENGTH
 
     A character that loses one of its bytes is dropped. Untouched texts, null ones too, stay as they are.
     """
-    joined = _with_runs(documents, scratch, length).select(*documents.columns, "runs")
+    joined = _with_runs(documents, scratch, length)
     return joined.mapInArrow(_removed(length, True), documents.schema)

@@ -105,7 +105,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             body = int(length) if length is not None else None
             whole = body is not None and len(rest) >= body
             digest = base32_sha1(rest[:body]) if whole else None
-            raw = piece if at < reach or (body is not None and not whole) else None
+            raw = piece if at - len(MARK) < reach or (body is not None and not whole) else None
             rows.append((
                 file, block, at, len(piece) + len(MARK), len(head) + len(BREAK), body, kind.decode(errors="replace"),
                 int(page) if page else None, int(refers) if refers else None, digest, raw,

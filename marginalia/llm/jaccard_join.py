@@ -283,13 +283,16 @@ def _packed_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "text"])
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, words: int, scratch: Scratch) -> DataFrame:
-    """The pairs ``(a, b)`` whose whole sets are similar. Only texts in a pair are looked at."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = documents.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = scratch.keep(texts.mapInArrow(_packed_texts, "doc_id long, text binary"), "texts")
-    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
+def _texts(ids: DataFrame, documents: DataFrame, scratch: Scratch) -> DataFrame:
+    """The packed texts of some ids. The ids grow with the documents, so they are not broadcast."""
+    texts = documents.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_packed_texts, "doc_id long, text binary")
+    return scratch.keep(texts.dropDuplicates(["doc_id"]), "texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole sets are similar."""
+    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b").join(
+        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a"
     )
     return scratch.keep(both.select("a", "b", "text_a", "text_b").mapInArrow(_compare(words), "a long, b long"), "verified")
 
@@ -325,7 +328,9 @@ def similar_documents(documents: DataFrame, scratch: Scratch, words: int = WORDS
     stars = used.join(lead.select("sig", "band", F.col("lead.id").alias("a"), F.col("lead.n").alias("m")), ["sig", "band"])
     stars = stars.filter((F.col("id") != F.col("a")) & near).select("a", F.col("id").alias("b")).distinct()
     stars = scratch.keep(stars, "stars")
-    links = _verified(stars, known, words, scratch)
+    met = used.join(lead.select("sig", "band"), ["sig", "band"]).select(F.col("id").alias("doc_id")).distinct()
+    texts = _texts(met, known, scratch)
+    links = _verified(stars, texts, words, scratch)
     found = scratch.keep(_components(links, scratch), "first_components")
 
     grouped = used.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -343,7 +348,7 @@ def similar_documents(documents: DataFrame, scratch: Scratch, words: int = WORDS
     )
     rest = scratch.keep(rest, "rest")
     if not rest.isEmpty():
-        more = _verified(rest, known, words, scratch)
+        more = _verified(rest, texts, words, scratch)
         if not more.isEmpty():
             found = scratch.keep(_components(links.unionByName(more), scratch), "components")
     of_class = classes.join(found, "id", "left").select(*equal, F.coalesce("component", "id").alias("component"))

@@ -32,16 +32,17 @@ from marginalia.llm.tables import pick, shuffle_width
 from marginalia.scratch import Scratch
 
 LENGTH = 100
-GRAM = 16
+GRAM = 32
 SLICE = 2 << 20
 SHARDS = 4
 BUCKET_BYTES = 400_000
 CROWD = 1000
+RUNS = "_covered_windows"
 
 COVERED, EDGE, CROWDED = 1, 2, 3
-CUT = "place long, gram long, content long, doc_id long, start long, windows int, kind int"
+CUT = "gram long, content long, doc_id long, start long"
 SETTLED = "gram long, doc_id long, start long, windows int, kind int"
-TRANSFORM = "bucket long, shard int, last binary, order binary, sizes binary, docs binary, starts binary"
+TRANSFORM = "bucket long, shard int, last binary, sizes binary, docs binary, starts binary"
 
 
 class Hashes:
@@ -124,18 +125,13 @@ def _cut(length: int):
             heads = covered[~joins]
             total = np.add.reduceat(windows[covered], np.flatnonzero(~joins)) if len(covered) else np.zeros(0, np.int64)
             spread = mix(doc[heads].astype(np.uint64) ^ mix(start[heads]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.r_[gram[first], spread].view(np.int64)),
-                    pa.array(np.r_[gram[first], spread].view(np.int64)),
-                    pa.array(np.r_[content[first], np.zeros(len(heads), np.uint64)].view(np.int64)),
-                    pa.array(np.r_[doc[first], doc[heads]].astype(np.int64)),
-                    pa.array(np.r_[start[first], start[heads]].astype(np.int64)),
-                    pa.array(np.r_[windows[first], total].astype(np.int32)),
-                    pa.array(np.r_[np.zeros(len(first), np.int32), np.full(len(heads), COVERED, np.int32)]),
-                ],
-                [c.split()[0] for c in CUT.split(", ")],
-            )
+            # The last byte of the content tells the number of windows; 0 marks a covered run.
+            told = (content[first] << np.uint64(8)) | windows[first].astype(np.uint64)
+            columns = [
+                np.r_[gram[first], spread].view(np.int64), np.r_[told, total.astype(np.uint64) << np.uint64(8)].view(np.int64),
+                np.r_[doc[first], doc[heads]].astype(np.int64), np.r_[start[first], start[heads]].astype(np.int64),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "content", "doc_id", "start"])
 
     return run
 
@@ -150,13 +146,16 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SETTLED.split(", ")]
     last, waiting, crowd = None, None, 0  # last: gram, content, doc, start of the earliest
     for batch in batches:
-        kind = batch.column("kind").to_numpy()
-        through = batch.filter(pa.array(kind == COVERED)).select(names)
-        rows = batch.filter(pa.array(kind == 0))
-        yield through
+        windows = batch.column("content").to_numpy() & 255
+        through = batch.filter(pa.array(windows == 0))
+        total = (through.column("content").to_numpy() >> 8).astype(np.int32)
+        known = [through.column(c) for c in ("gram", "doc_id", "start")]
+        yield pa.RecordBatch.from_arrays([*known, pa.array(total), pa.array(np.full(len(total), COVERED, np.int32))], names)
+        rows = batch.filter(pa.array(windows > 0))
         if not rows.num_rows:
             continue
-        gram, content, doc, start, windows = (rows.column(c).to_numpy() for c in ("gram", "content", "doc_id", "start", "windows"))
+        gram, content, doc, start = (rows.column(c).to_numpy() for c in ("gram", "content", "doc_id", "start"))
+        windows = (content & 255).astype(np.int32)
         new_gram = np.r_[last is None or gram[0] != last[0], gram[1:] != gram[:-1]]
         new = new_gram | np.r_[last is None or content[0] != last[1], content[1:] != content[:-1]]
         head = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
@@ -178,8 +177,8 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting = None
         for some, what in out:
             if len(some):
-                picked = rows.take(pa.array(some)).select(names[:-1])
-                yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(np.full(len(some), what, np.int32))], names)
+                picked = [pa.array(c[some]) for c in (gram, doc, start, windows)]
+                yield pa.RecordBatch.from_arrays([*picked, pa.array(np.full(len(some), what, np.int32))], names)
         if len(firsts):
             i = firsts[-1]
             if opens[-1]:
@@ -194,7 +193,7 @@ def _extract(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             data, at = as_bytes(batch.column("text"))
-            edges = batch.column("edges")
+            edges = batch.column(RUNS)
             flat = edges.flatten()
             many = edges.value_lengths().fill_null(0).to_numpy()
             row = np.repeat(np.arange(batch.num_rows), many)
@@ -241,12 +240,12 @@ def _transform(length: int):
         text = np.frombuffer(b"\0".join(b.replace(b"\0", b"\xc0") for b in bodies) + b"\0", np.uint8)  # \xc0 is never part of UTF-8
         sizes = np.array([len(b) + 1 for b in bodies], np.int64)
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(text)) - 1
-        order = suffix_order(text, left, length + length % 2)
+        order = suffix_order(text, left, length)
         before = np.r_[np.uint8(0), text[:-1]][order]  # the end mark of the string before stands for none
         return pd.DataFrame(
             {
                 "bucket": [rows["bucket"].iloc[0]], "shard": [rows["shard"].iloc[0]], "last": [before.tobytes()],
-                "order": [order.astype("<i4").tobytes()], "sizes": [sizes.astype("<i4").tobytes()],
+                "sizes": [sizes.astype("<i4").tobytes()],
                 "docs": [rows["doc_id"].to_numpy("<i8").tobytes()], "starts": [rows["start"].to_numpy("<i8").tobytes()],
             }
         )
@@ -261,80 +260,72 @@ def _back(last: np.ndarray) -> np.ndarray:
     return to
 
 
-def merge_transforms(lasts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merge transforms (0 marks a string's end): the rows of all shards, numbered through, in common
-    order by their first ``length`` bytes, and the common prefix of each with the one before,
-    ``length`` where it is at least that long; it is told to a multiple of two.
+def merge_transforms(lasts: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merge transforms (0 marks a string's end): the rows whose first ``length`` bytes are shared,
+    in order, the repeated interval of each, and for all rows how many bytes they share with some
+    other one, to a multiple of two and up to ``length``.
 
-    ``length`` has to be even. An end mark differs from every other one.
+    Rows of all shards are numbered through. ``length`` has to be even. An end mark differs from
+    every other one. Suffixes that share ``h`` bytes share ``h - 2`` once two bytes are taken off,
+    so a suffix that is alone with its prefix hands nothing on.
     """
-    sizes = [len(x) for x in lasts]
-    total = sum(sizes)
-    base = np.cumsum([0, *sizes])[:-1]
+    base = np.cumsum([0, *map(len, lasts)])[:-1]
     last = np.concatenate(lasts)
-    back = np.concatenate([_back(x) + b for x, b in zip(lasts, base, strict=True)])
-    one = back  # of a row whose last byte is an end mark there is none
-    has_one = last > 0
-    has_two = has_one & (last[one] > 0)
-    two = one[one]
-    key = np.zeros(total, np.uint16)  # the first two bytes of each row's suffix
-    key[two[has_two]] = (last[one[has_two]].astype(np.uint16) << 8) | last[has_two]
-    given = np.zeros(total, bool)
-    given[two[has_two]] = True
-    short = np.flatnonzero(~given)  # suffixes of no byte or one: nothing hands them their place
-    ends = np.concatenate([np.arange(int((x == 0).sum())) + b for x, b in zip(lasts, base, strict=True)])
-    tails = ends[has_one[ends]]
-    key[one[tails]] = last[tails].astype(np.uint16) << 8
-    rows = np.arange(total)
-    block = np.zeros(total, np.int64)
-    common = np.full(total, -1, np.int64)
-    common[0] = 0
-    for done in range(0, length, 2):
-        from_ = has_two[rows]
-        moved = np.concatenate([short, two[rows[from_]]])
-        came = np.concatenate([-1 - np.arange(len(short)), block[from_]])
-        keys = key[moved]
+    one = np.concatenate([_back(x) + b for x, b in zip(lasts, base, strict=True)])
+    has_two = (last > 0) & (last[one] > 0)
+    two, pair = one[one], (last[one].astype(np.uint16) << 8) | last
+    rows, block = np.arange(len(last)), np.zeros(len(last), np.int64)
+    common = np.zeros(len(last), np.int64)
+    for done in range(2, length + 1, 2):
+        onward = has_two[rows]
+        rows, block = rows[onward], block[onward]
+        keys = pair[rows]
         order = np.argsort(keys, kind="stable")
-        rows, came, keys = moved[order], came[order], keys[order]
-        breaks = np.r_[True, (keys[1:] != keys[:-1]) | (came[1:] != came[:-1])]
-        common[breaks & (common < 0)] = done
-        block = np.cumsum(breaks)
-    common[common < 0] = length
-    return rows, common
+        keys, came, rows = keys[order], block[order], two[rows[order]]
+        breaks = np.r_[True, (keys[1:] != keys[:-1]) | (came[1:] != came[:-1])][: len(rows)]
+        shared = ~breaks | np.r_[~breaks[1:], False][: len(rows)]
+        rows, block = rows[shared], np.cumsum(breaks)[shared]
+        common[rows] = done
+        if not len(rows):
+            break
+    return rows, block, common
+
+
+def _places(last: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every row of a transform its string and its place there, going back from all ends at once."""
+    back = _back(last)
+    string, place = np.zeros(len(last), np.int64), np.zeros(len(last), np.int64)
+    row, of, at = np.arange(len(sizes)), np.arange(len(sizes)), sizes - 1
+    while len(row):
+        string[row], place[row] = of, at
+        more = last[row] > 0
+        row, of, at = back[row[more]], of[more], at[more] - 1
+    return string, place
 
 
 def _merge(length: int):
     """The transforms of one bucket to the windows that repeat an earlier one."""
-    even = length + length % 2
 
     def run(shards: pd.DataFrame) -> pd.DataFrame:
         shards = shards.sort_values("shard", ignore_index=True)
         lasts = [np.frombuffer(x, np.uint8) for x in shards["last"]]
-        rows, common = merge_transforms(lasts, length - length % 2)
-        doc, place, room = [], [], []
-        for order, sizes, docs, starts in zip(shards["order"], shards["sizes"], shards["docs"], shards["starts"], strict=True):
-            order, sizes = np.frombuffer(order, "<i4").astype(np.int64), np.frombuffer(sizes, "<i4").astype(np.int64)
-            begin = np.cumsum(sizes) - sizes
-            owner = np.searchsorted(begin, order, "right") - 1
-            doc.append(np.frombuffer(docs, "<i8")[owner])
-            place.append(np.frombuffer(starts, "<i8")[owner] + order - begin[owner])
-            room.append(sizes[owner] - 1 - (order - begin[owner]))
-        doc, place, room = np.concatenate(doc)[rows], np.concatenate(place)[rows], np.concatenate(room)[rows]
-        interval = np.cumsum(common < length - length % 2)
-        some = np.flatnonzero(room >= length)
-        order = some[np.lexsort((place[some], doc[some], interval[some]))]
+        rows, interval, _ = merge_transforms(lasts, length)
+        doc, start = [], []
+        for last, sizes, docs, starts in zip(lasts, shards["sizes"], shards["docs"], shards["starts"], strict=True):
+            string, place = _places(last, np.frombuffer(sizes, "<i4").astype(np.int64))
+            doc.append(np.frombuffer(docs, "<i8")[string])
+            start.append(np.frombuffer(starts, "<i8")[string] + place)
+        doc, start = np.concatenate(doc)[rows], np.concatenate(start)[rows]
+        order = np.lexsort((start, doc, interval))
         same = np.r_[False, interval[order][1:] == interval[order][:-1]][: len(order)]
-        head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order)))) if len(order) else order
-        later = same & ((doc[order] != doc[order][head]) | (place[order] != place[order][head]))
-        doc, place = doc[order][later], place[order][later]
-        order = np.lexsort((place, doc))
-        doc, place = doc[order], place[order]
-        fresh = np.r_[True, (doc[1:] != doc[:-1]) | (place[1:] > place[:-1] + 1)][: len(doc)]
-        first = np.flatnonzero(fresh)
-        final = np.r_[first[1:], len(doc)] - 1 if len(first) else first
-        return pd.DataFrame({"doc_id": doc[first], "start": place[first], "windows": (place[final] - place[first] + 1).astype(np.int32)})
-
-    assert even - length in (0, 1)
+        head = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
+        later = order[same & ((doc[order] != doc[order][head]) | (start[order] != start[order][head]))]
+        later = later[np.lexsort((start[later], doc[later]))]
+        doc, start = doc[later], start[later]
+        first = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)][: len(doc)])
+        final = np.r_[first[1:], len(doc)][: len(first)] - 1
+        return pd.DataFrame({"doc_id": doc[first], "start": start[first], "windows": (start[final] - start[first] + 1).astype(np.int32)})
+
     return run
 
 
@@ -355,32 +346,34 @@ def _windows(length: int):
     return run
 
 
+def _by_id(documents: DataFrame) -> DataFrame:
+    """The documents dealt out by id. Extraction and removal both read this one shuffle, so it
+    must be the same plan in both."""
+    return documents.repartition(shuffle_width(documents), "doc_id")
+
+
 def covered_windows(documents: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
-    """``(doc_id, start, windows)``: runs of windows of ``length`` bytes in ``documents(doc_id, text)`` that also start
+    """``(doc_id, start, windows)``: runs of windows of ``length`` bytes in the texts of ``documents`` that also start
     earlier, in a smaller id or further left in the same text. Runs may overlap."""
     if length < 2 * GRAM or length % 2:
         raise ValueError(f"length must be even and at least {2 * GRAM}")
-    known = documents.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
-    width = shuffle_width(documents)
+    known = pick(documents, doc_id="doc_id", text="text").filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= length))
     settled = (
         known.mapInArrow(_cut(length), CUT)
-        .repartition(width, "place")
+        .repartition(shuffle_width(documents), "gram")
         .sortWithinPartitions("gram", "content", "doc_id", "start")
         .mapInArrow(_settle, SETTLED)
     )
     settled = scratch.keep(settled, "settled")
+    edges = settled.filter(F.col("kind") == EDGE)
+    total = edges.agg(F.sum(F.col("windows") + length - 1)).first()[0] or 0
+    buckets = max(1, -(-total // BUCKET_BYTES))
     crowded = settled.filter(F.col("kind") == CROWDED).select("gram", F.lit(True).alias("crowded"))
-    edges = settled.filter(F.col("kind") == EDGE).join(crowded, "gram", "left")
-    of_doc = edges.groupBy("doc_id").agg(
-        F.collect_list(F.struct("gram", "start", "windows", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("edges")
-    )
-    texts = known.join(of_doc, "doc_id")
-    bodies = scratch.keep(
-        texts.select("doc_id", "text", "edges").mapInArrow(_extract(length), "gram long, doc_id long, start long, crowded boolean, body binary"),
-        "edges",
+    one = F.struct("gram", "start", "windows", F.coalesce("crowded", F.lit(False)).alias("crowded"))
+    of_doc = edges.join(crowded, "gram", "left").groupBy("doc_id").agg(F.collect_list(one).alias(RUNS))
+    bodies = _by_id(documents).join(of_doc, "doc_id", "left").mapInArrow(
+        _extract(length), "gram long, doc_id long, start long, crowded boolean, body binary"
     )
-    total = bodies.filter("not crowded").agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
     shards = (
         bodies.filter("not crowded")
         .select(F.pmod("gram", F.lit(buckets)).cast("long").alias("bucket"), F.pmod(F.xxhash64("body"), F.lit(SHARDS)).cast("int").alias("shard"), "doc_id", "start", "body")
@@ -437,13 +430,10 @@ def _removed(length: int, keep_text: bool):
     return run
 
 
-RUNS = "_covered_windows"
-
-
 def _with_runs(documents: DataFrame, scratch: Scratch, length: int) -> DataFrame:
-    runs = covered_windows(pick(documents, doc_id="doc_id", text="text"), scratch, length)
+    runs = covered_windows(documents, scratch, length)
     of_doc = runs.groupBy("doc_id").agg(F.collect_list(F.struct("start", "windows")).alias(RUNS))
-    return documents.join(of_doc, "doc_id", "left").select(*documents.columns, RUNS)
+    return _by_id(documents).join(of_doc, "doc_id", "left").select(*documents.columns, RUNS)
 
 
 def repeats_removed(documents: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:

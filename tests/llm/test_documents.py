@@ -93,12 +93,14 @@ def test_transforms_merge_to_the_common_order():
         order = suffix_dedup.suffix_order(text, left, 32)
         lasts.append(np.r_[np.uint8(0), text[:-1]][order])
         suffixes += [bytes(text[i : i + left[i]]) for i in order]
-    rows, common = suffix_dedup.merge_transforms(lasts, 8)
-    merged = [suffixes[r] for r in rows]
-    assert [s[:8] for s in merged] == sorted(s[:8] for s in merged)
-    for before, after, lcp in zip(merged, merged[1:], common[1:], strict=False):
-        same = next((i for i, (x, y) in enumerate(zip(before, after, strict=False)) if x != y), min(len(before), len(after)))
-        assert lcp == min(same // 2 * 2, 8)
+    rows, block, common = suffix_dedup.merge_transforms(lasts, 8)
+    merged = [suffixes[r][:8] for r in rows]
+    assert merged == sorted(merged) and all((x == y) == (b == c) for x, y, b, c in zip(merged, merged[1:], block, block[1:], strict=False))
+    for i, suffix in enumerate(suffixes):
+        most = max(h for h in range(0, 9, 2) if len(suffix) >= h and sum(s[:h] == suffix[:h] for s in suffixes) > 1)
+        assert common[i] == most and (i in set(rows.tolist())) == (most == 8)
+    string, place = suffix_dedup._places(lasts[0], np.array([len(s) + 1 for s in shards[0]]))
+    assert [shards[0][s][p:] for s, p in zip(string, place, strict=True)] == suffixes[: len(string)]
 
 
 def shingles_by_hand(text):

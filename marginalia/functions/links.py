@@ -12,8 +12,13 @@ NAMESPACE_MARK = ":"
 
 
 def link_bodies(text: Column) -> Column:
-    """What stands between ``[[`` and ``]]``, in page order; a link never spans lines."""
-    return F.regexp_extract_all(text, F.lit(LINK), 1)
+    """What stands between ``[[`` and ``]]``, in page order; a link never spans lines.
+
+    An opening mark without an end takes the rest of its line as an empty find: no mark behind
+    it can have an end either, and none is searched for again.
+    """
+    found = F.regexp_extract_all(text, F.lit(LINK + r"|\[\[.*"), 1)
+    return F.filter(found, lambda body: body != "")
 
 
 def link_target(body: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # The cleaning patterns, as Java regular expressions.
-MOVE_INFO = r"(\[\[(?=.*\(\[).*?\]\]).*?\(\[.*?\]\)"
+MOVE_INFO = r"(\[\[.*?\]\]).*?\(\[.*?\]\)"
 HEADER = r"=+\h*(.*)\h=+"
 QUOTES = r"'{2,3}"
 DATE = r"\{\{Date.*?\|(.*?)\}\}"
@@ -28,18 +28,43 @@ PUNCTUATION = r"[,;:(|)]"
 BLANKS = r" {2,}"
 TEMPLATE_ROUNDS = 11
 
+# The same patterns for pages where they find an opening mark again and again but never its end.
+# Each part that cannot do better by trying on is atomic or possessive. Where an opening mark
+# finds no end, neither can those behind it, up to where the last alternative stops: it takes
+# that stretch as it is, so nothing is looked at twice. The last group puts it back.
+LINEAR_MOVE_INFO = r"(\[\[(?>.*?\]\]))(?>.*?\(\[)(?>.*?\]\))|(\[\[.*)"
+LINEAR_HEADER = r"=.*\h=+|(=.*)"
+LINEAR_DATE = r"\{\{Date(?>.*?\|)(.*?)\}\}|(\{\{Date.*)"
+LINEAR_ESCAPED_REF = ESCAPED_REF + r"|(&lt;ref&gt;.*)"
+LINEAR_NAMESPACED_LINK = r"\[\[[^\]:]*+:[^\]]*+\]\]|(\[\[[^\]]*+)"
+LINEAR_LINK = LINK + r"|(\[\[.*)"
+# These two hold on one line only: [^\]] passes ends of lines, the dot does not.
+LINEAR_LINK_PARENTHESIS = r"(\[\[[^\](]*+)\([^\])]*+\)(.*?\]\])|(\[\[[^\](]*+(?:\([^\])]*+(?:\).*)?)?)"
+LINEAR_LINK_LABEL = r"(\[\[)[^\]][^\]|]*+\|(.+?\]\])|(\[\[(?:[^\]][^\]|]*+(?:\|.*)?)?)"
+LINE_END = r"[\n\r\u0085\u2028\u2029]"
+HOPELESS = "<\ue000>"
+
 
 def strip_tags(text: Column) -> Column:
     """Drop tags, and the content of a tag whose exact label is closed later on.
 
     A lazy search for the closing tag from every open tag is quadratic on pages full of
     unpaired tags. So the pattern is built per page from the labels that are closed somewhere
-    on it, and only those open tags search for their end.
+    on it, and of these only the open tags before the last closing one search for their end.
     """
-    closed = F.array_distinct(F.regexp_extract_all(text, F.lit(r"</(?=([^>]*)>)"), 1))
+    ends = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)</(?=([^>]*+>))|</.*"), 1))
+    closed = F.transform(F.filter(ends, lambda end: end != ""), lambda end: F.substring(end, F.lit(1), F.length(end) - 1))
+
+    def give_up(page: Column, label: Column) -> Column:
+        behind = F.call_function("substring_index", page, F.concat(F.lit("</"), label, F.lit(">")), F.lit(-1))
+        before = F.substring(page, F.lit(1), F.length(page) - F.length(behind))
+        return F.concat(before, F.replace(behind, F.concat(F.lit("<"), label, F.lit(">")), F.lit(HOPELESS)))
+
     quoted = F.transform(closed, lambda c: F.regexp_replace(c, r"([^\p{L}\p{N}\s])", r"\\$1"))
-    paired = F.concat(F.lit("(?s)<(?:("), F.array_join(quoted, "|"), F.lit(r")>(?:.*?</\1>)?|[^>]*>)"))
-    return F.regexp_replace(text, F.when(F.size(closed) > 0, paired).otherwise("<[^>]*>"), F.lit(""))
+    paired = F.concat(F.lit("(?s)<(?:("), F.array_join(quoted, "|"), F.lit(r")>(?:.*?</\1>)?|[^>]*+>)|(<.*)"))
+    return F.when(F.size(closed) > 0, F.regexp_replace(F.aggregate(closed, text, give_up), paired, F.lit("$2"))).otherwise(
+        F.regexp_replace(text, r"(?s)<[^>]*+>|(<.*)", "$1")
+    )
 
 
 def _as_units(text: str) -> str:
@@ -104,14 +129,18 @@ def _where(text: Column, mark: str, step: Callable[[Column], Column], rounds: in
     )
 
 
+def _on_one_line(text: Column, linear: str, new: str, plain: str, plain_new: str) -> Column:
+    """The linear pattern where the page is one line, as it is after the lines were joined."""
+    return F.when(text.rlike(LINE_END), F.regexp_replace(text, plain, plain_new)).otherwise(F.regexp_replace(text, linear, new))
+
+
 def drop_move_info(text: Column) -> Column:
-    """``[[Lyon]] foo ([move])`` becomes ``[[Lyon]]``. The lookahead changes no match: it lets
-    links on lines without ``([`` fail early."""
-    return _where(text, "([", lambda t: F.regexp_replace(t, MOVE_INFO, "$1"))
+    """``[[Lyon]] foo ([move])`` becomes ``[[Lyon]]``."""
+    return _where(text, "([", lambda t: F.regexp_replace(t, LINEAR_MOVE_INFO, "$1$2"))
 
 
 def drop_headers(text: Column) -> Column:
-    return F.regexp_replace(text, HEADER, "")
+    return F.regexp_replace(text, LINEAR_HEADER, "$1")
 
 
 def drop_quotes(text: Column) -> Column:
@@ -127,7 +156,7 @@ def join_lines(text: Column) -> Column:
 
 
 def keep_dates(text: Column) -> Column:
-    return _where(text, "{{Date", lambda t: F.regexp_replace(t, DATE, "$1"))
+    return _where(text, "{{Date", lambda t: F.regexp_replace(t, LINEAR_DATE, "$1$2"))
 
 
 def drop_templates(text: Column) -> Column:
@@ -136,23 +165,23 @@ def drop_templates(text: Column) -> Column:
 
 
 def drop_escaped_refs(text: Column) -> Column:
-    return _where(text, "&lt;ref&gt;", lambda t: F.regexp_replace(t, ESCAPED_REF, ""))
+    return _where(text, "&lt;ref&gt;", lambda t: F.regexp_replace(t, LINEAR_ESCAPED_REF, "$1"))
 
 
 def drop_link_parenthesis(text: Column) -> Column:
-    return F.regexp_replace(text, LINK_PARENTHESIS, "$1$2")
+    return _on_one_line(text, LINEAR_LINK_PARENTHESIS, "$1$2$3", LINK_PARENTHESIS, "$1$2")
 
 
 def keep_link_label(text: Column) -> Column:
-    return F.regexp_replace(text, LINK_LABEL, "[[$1]]")
+    return _on_one_line(text, LINEAR_LINK_LABEL, "$1$2$3", LINK_LABEL, "[[$1]]")
 
 
 def drop_namespaced_links(text: Column) -> Column:
-    return F.regexp_replace(text, NAMESPACED_LINK, "")
+    return F.regexp_replace(text, LINEAR_NAMESPACED_LINK, "$1")
 
 
 def unwrap_links(text: Column) -> Column:
-    return F.regexp_replace(text, LINK, "$1")
+    return F.regexp_replace(text, LINEAR_LINK, "$1$2")
 
 
 def blank_punctuation(text: Column) -> Column:

@@ -1,10 +1,13 @@
+import random
+import time
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import plan
-from marginalia.functions import wikitext
+from marginalia.functions import links, wikitext
 
 # raw, default, and compat where it differs
 GOLDEN = [
@@ -148,3 +151,36 @@ def test_many_unpaired_tags_stay_cheap(spark):
 def test_default_mode_stays_in_the_jvm(spark):
     rows = spark.createDataFrame([("a",)], "t string")
     assert "Python" not in plan(rows.select(wikitext.clean_text(F.col("t"))))
+
+
+PLAIN = {
+    1: (wikitext.MOVE_INFO, "$1"), 2: (wikitext.HEADER, ""), 6: (wikitext.DATE, "$1"), 8: (wikitext.ESCAPED_REF, ""),
+    9: (wikitext.LINK_PARENTHESIS, "$1$2"), 10: (wikitext.LINK_LABEL, "[[$1]]"), 11: (wikitext.NAMESPACED_LINK, ""), 12: (wikitext.LINK, "$1"),
+}
+
+
+def test_linear_patterns_match_their_plain_ones(spark):
+    random.seed(4)
+    marks = ["[[", "]]", "[", "]", "(", ")", "([", "])", "|", ":", "=", "==", " ", " ", "a", "b", "{{Date", "}}", "&lt;ref&gt;", "&lt;/ref&gt;"]
+    texts = ["".join(random.choice(marks + ["\n", "\r"] * (i % 2)) for _ in range(random.randint(1, 40))) for i in range(6000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for step, (pattern, new) in PLAIN.items():
+        text = F.col("text")
+        both = rows.select("text", wikitext.STEPS[step](text).alias("got"), F.regexp_replace(text, pattern, new).alias("want"))
+        assert both.filter("got <> want").collect() == [], step
+    found = rows.select("text", links.link_bodies(F.col("text")).alias("got"), F.regexp_extract_all("text", F.lit(links.LINK), 1).alias("want"))
+    assert found.filter("got <> want").collect() == []
+
+
+JUNK = ["=", "a=", "[[a|b ", "[[a (b) ", "[[a ", "[[a:b ", "{{Date|", "&lt;ref&gt;", "[[a ([b ", "[[a]] ([b ", "== a", "[[(", "[[|", "<b>", "<a", "</a"]
+
+
+@pytest.mark.parametrize("piece", JUNK)
+def test_junk_pages_are_cleaned_in_time(spark, piece):
+    """100 KB of one unclosed mark: each step on its own, and the whole chain."""
+    head = "</b><b>x</b>" if piece == "<b>" else ""
+    rows = spark.createDataFrame([(head + piece * (100_000 // len(piece)),)], "text string")
+    steps = [step(F.col("text")).alias(f"t{i}") for i, step in enumerate(wikitext.STEPS)]
+    start = time.perf_counter()
+    rows.select(*steps, wikitext.clean_text(F.col("text")), links.link_bodies(F.col("text"))).collect()
+    assert time.perf_counter() - start < 8

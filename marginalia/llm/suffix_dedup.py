@@ -329,23 +329,41 @@ def _merge(length: int):
     return run
 
 
-def _windows(length: int):
-    """Crowded edges to the hashes of each of their windows."""
+def _windows(length: int, parts: int):
+    """Crowded edges to the hashes of their windows, packed by part of the hash space: of each window
+    two hashes, the document and the start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "body", 1 << 18):
+        for batch in slices(batches, "body", 1 << 19):
             data, at = as_bytes(batch.column("body"))
             count = np.diff(at) - length + 1
             row = np.repeat(np.arange(batch.num_rows), count)
             begin = ragged(at[:-1], count)
-            one, two = (Hashes(data, seed).of(begin, begin + length).view(np.int64) for seed in (1, 2))
+            one, two = (Hashes(data, seed).of(begin, begin + length) for seed in (1, 2))
             doc = batch.column("doc_id").to_numpy()[row]
             place = batch.column("start").to_numpy()[row] + begin - at[row]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (one, two, doc, place)], ["one", "two", "doc_id", "start"])
+            rows = np.stack([one.view(np.int64), two.view(np.int64), doc, place], axis=1)
+            part = (one % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            rows, ends = rows[order], np.searchsorted(part[order], np.arange(parts + 1))
+            some = np.flatnonzero(np.diff(ends))
+            packed = [rows[ends[p] : ends[p + 1]].tobytes() for p in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(packed, pa.binary())], ["part", "rows"])
 
     return run
 
 
+def _same_windows(packed: pd.DataFrame) -> pd.DataFrame:
+    """One part of the hash space to the windows that an earlier one equals."""
+    one, two, doc, start = np.frombuffer(b"".join(packed["rows"]), np.int64).reshape(-1, 4).T
+    order = np.lexsort((start, doc, two, one))
+    one, two, doc, start = one[order], two[order], doc[order], start[order]
+    same = np.r_[False, (one[1:] == one[:-1]) & (two[1:] == two[:-1])]
+    head = np.maximum.accumulate(np.where(same, 0, np.arange(len(one))))
+    later = same & ((doc != doc[head]) | (start != start[head]))
+    return pd.DataFrame({"doc_id": doc[later], "start": start[later], "windows": np.ones(int(later.sum()), np.int32)})
+
+
 def _by_id(documents: DataFrame) -> DataFrame:
     """The documents dealt out by id. Extraction and removal both read this one shuffle, so it
     must be the same plan in both."""
@@ -380,10 +398,8 @@ def covered_windows(documents: DataFrame, scratch: Scratch, length: int = LENGTH
         .groupBy("bucket", "shard").applyInPandas(_transform(length), TRANSFORM)
     )
     merged = shards.groupBy("bucket").applyInPandas(_merge(length), "doc_id long, start long, windows int")
-    each = bodies.filter("crowded").select("doc_id", "start", "body").mapInArrow(_windows(length), "one long, two long, doc_id long, start long")
-    earliest = each.groupBy("one", "two").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.max(F.struct("doc_id", "start")).alias("last"))
-    repeated = earliest.filter("first < last").select("one", "two", "first")
-    later = each.join(repeated, ["one", "two"]).filter(F.struct("doc_id", "start") > F.col("first")).select("doc_id", "start", F.lit(1).alias("windows"))
+    each = bodies.filter("crowded").select("doc_id", "start", "body").mapInArrow(_windows(length, shuffle_width(documents)), "part long, rows binary")
+    later = each.groupBy("part").applyInPandas(_same_windows, "doc_id long, start long, windows int")
     whole = settled.filter(F.col("kind") == COVERED).select("doc_id", "start", "windows")
     return whole.unionByName(merged).unionByName(later)
 

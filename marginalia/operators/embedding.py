@@ -5,12 +5,10 @@ A vector table is ``(word string, vector array<double>)`` with one row per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -29,11 +27,11 @@ NEAREST = 20
 # digits leaves such ties to the word.
 SORT_DIGITS = 9
 
-# Up to this many numbers go along with every task: in query vectors (16 MiB of doubles),
-# and in a vector table (64 MiB).
-SHIPPED_NUMBERS = 1 << 21
-SHIPPED_TABLE_NUMBERS = 1 << 23
+# A task matches so many queries with so many words at a time, and works out so many
+# similarities at once: 16 MiB of doubles, whatever the dimension.
+BLOCK_QUERIES = 2_048
 SLICE_WORDS = 20_000
+TILE = 1 << 21
 
 MATCH_SCHEMA = "query_id bigint, word string, similarity double"
 
@@ -47,7 +45,8 @@ def train_word_vectors(
     min_count: int = MIN_COUNT,
     seed: int = 1,
 ) -> Word2VecModel:
-    """Train on ``corpus(tokens)``. Every task holds the whole model, and the trainer refuses
+    """Train on ``corpus(tokens)``. Sentences of more than 1,000 words are trained in pieces of that
+    length, as the trainer does by default. Every task holds the whole model, and the trainer refuses
     one of more than 2^31 numbers: raise ``min_count`` for a corpus with that many words."""
     trainer = Word2Vec(
         inputCol="tokens",
@@ -125,23 +124,32 @@ def sum_words(
     return synonyms(vectors, query_vectors(terms, vectors), n)
 
 
+def _directions(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one; null vectors stay null."""
+    lengths = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, lengths, out=np.zeros_like(rows), where=lengths > 0)
+
+
 def _best_per_query(
     ids: np.ndarray, queries: np.ndarray, words: np.ndarray, vectors: np.ndarray, n: int
 ) -> pd.DataFrame:
-    """The ``n`` best words of one batch for each query."""
-    lengths = np.outer(np.linalg.norm(queries, axis=1), np.linalg.norm(vectors, axis=1))
-    products = queries @ vectors.T
-    similar = np.divide(products, lengths, out=np.zeros_like(products), where=lengths > 0)
-    rounded = np.round(similar, SORT_DIGITS)
-    found = []
-    for q, row in enumerate(rounded):
-        at = np.arange(len(row))
-        if len(row) > n:
-            at = np.flatnonzero(row >= np.partition(row, -n)[-n])
-        if len(at) > n:
-            at = at[np.lexsort((words[at], -row[at]))[:n]]
-        found.append(pd.DataFrame({"query_id": ids[q], "word": words[at], "similarity": similar[q, at]}))
-    return pd.concat(found)
+    """The ``n`` best of some words for each of some queries, a tile of queries at a time."""
+    queries, vectors = _directions(queries), _directions(vectors)
+    rows = max(1, TILE // max(1, len(words)))
+    of, found, values = [], [], []
+    for start in range(0, len(ids), rows):
+        similar = queries[start : start + rows] @ vectors.T
+        for q, row in enumerate(similar, start):
+            rounded = np.round(row, SORT_DIGITS)
+            at = np.arange(len(row))
+            if len(row) > n:
+                at = np.flatnonzero(rounded >= np.partition(rounded, -n)[-n])
+            if len(at) > n:
+                at = at[np.lexsort((words[at], -rounded[at]))[:n]]
+            of.append(np.full(len(at), ids[q]))
+            found.append(words[at])
+            values.append(row[at])
+    return pd.DataFrame({"query_id": np.concatenate(of), "word": np.concatenate(found), "similarity": np.concatenate(values)})
 
 
 def _first_per_query(matches: DataFrame, n: int) -> DataFrame:
@@ -153,41 +161,15 @@ def _first_per_query(matches: DataFrame, n: int) -> DataFrame:
     )
 
 
-def similar_words(
-    queries: DataFrame, vectors: DataFrame, n: int, shipped_numbers: int = SHIPPED_NUMBERS
-) -> DataFrame:
+def similar_words(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
     """``(query_id, place, word, similarity)``: the ``n`` nearest words of every query vector.
 
-    A set of queries small enough goes along with the tasks, and the words are read in place.
-    A larger one is dealt out in blocks: each block meets each slice of the words in one task,
-    which hands on only the best words of that slice.
+    Blocks of queries meet slices of the words, each pair in one task, which hands on only the
+    best words of its slice. A task holds one block, one slice and one tile of similarities.
+    Both tables are counted for that while the plan is made, so pass written ones.
     """
-    dimension = vectors.select(F.size("vector")).first()
-    most = max(1, shipped_numbers // (dimension[0] if dimension else 1))
-    shipped = queries.select("query_id", "vector").limit(most + 1).collect()
-    if len(shipped) > most:
-        return _first_per_query(_match_blocks(queries, vectors, n, most), n)
-    if not shipped:
-        return vectors.sparkSession.createDataFrame(
-            [], "query_id bigint, place int, word string, similarity double"
-        )
-    ids = np.array([r.query_id for r in shipped])
-    matrix = np.array([r.vector for r in shipped], dtype=float)
-
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                words = batch.column("word").to_numpy(zero_copy_only=False)
-                values = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-                best = _best_per_query(ids, matrix, words, values.reshape(len(words), -1), n)
-                yield pa.RecordBatch.from_pandas(best, preserve_index=False)
-
-    return _first_per_query(vectors.select("word", "vector").mapInArrow(match, MATCH_SCHEMA), n)
-
-
-def _match_blocks(queries: DataFrame, vectors: DataFrame, n: int, most: int) -> DataFrame:
-    blocks = ceil(queries.count() / most)
-    slices = ceil(vectors.count() / SLICE_WORDS)
+    blocks = max(1, ceil(queries.count() / BLOCK_QUERIES))
+    slices = max(1, ceil(vectors.count() / SLICE_WORDS))
 
     def part(key: str, parts: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
@@ -212,7 +194,8 @@ def _match_blocks(queries: DataFrame, vectors: DataFrame, n: int, most: int) ->
         )
 
     keys = ["block", "slice"]
-    return asked.groupBy(*keys).cogroup(searched.groupBy(*keys)).applyInPandas(match, MATCH_SCHEMA)
+    matches = asked.groupBy(*keys).cogroup(searched.groupBy(*keys)).applyInPandas(match, MATCH_SCHEMA)
+    return _first_per_query(matches, n)
 
 
 def word_query(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
@@ -223,28 +206,24 @@ def word_query(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
     return similar_words(query_vectors(query_terms(queries), vectors), vectors, n)
 
 
-def document_vectors(
-    documents: DataFrame, vectors: DataFrame, shipped_numbers: int = SHIPPED_TABLE_NUMBERS
-) -> DataFrame:
+def document_vectors(documents: DataFrame, vectors: DataFrame) -> DataFrame:
     """``(doc_id, vector)`` from ``documents(doc_id, tokens)``: the mean over all tokens, where
     an unknown one counts as the null vector.
 
-    A vector table small enough goes to every task, and only sums are shuffled. Otherwise the
-    tokens are counted per document and then meet their vectors, frequent words split.
+    The tokens are counted per document and then meet their vectors, frequent words split.
+    Documents without words do not take part in that join.
     """
-    tokens = documents.select("doc_id", F.explode_outer("tokens").alias("word"))
-    size = vectors.agg(F.count("*").alias("words"), F.max(F.size("vector")).alias("dimension")).first()
-    dimension = size.dimension or 0
-    if size.words * dimension <= shipped_numbers:
-        found = tokens.join(F.broadcast(vectors), "word", "left").withColumn("n", F.lit(1))
-    else:
-        counts = tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-        frequent = tokens.groupBy("word").agg(F.count("*").alias("n"))
-        found = look_up(counts, vectors, "word", how="left", counts=frequent)
+    dimension = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
+    tokens = documents.select("doc_id", F.explode("tokens").alias("word")).filter(F.col("word").isNotNull())
+    counts = tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    frequent = tokens.groupBy("word").agg(F.count("*").alias("n"))
+    found = look_up(counts, vectors, "word", counts=frequent)
     # One sum per place: sums of numbers aggregate by hash, sums of whole vectors by sorting.
-    sums = [F.sum(F.get("vector", F.lit(i)) * F.col("n")) for i in range(dimension)]
-    means = [F.coalesce(total, F.lit(0.0)) / F.sum("n") for total in sums]
-    return found.groupBy("doc_id").agg(F.array(*means).cast("array<double>").alias("vector"))
+    sums = [F.sum(F.get("vector", F.lit(i)) * F.col("n")).alias(f"s{i}") for i in range(dimension)]
+    known = found.groupBy("doc_id").agg(*sums, F.count("*").alias("_known"))
+    sizes = documents.groupBy("doc_id").agg(F.sum(F.greatest(F.coalesce(F.size("tokens"), F.lit(0)), F.lit(1))).alias("n"))
+    means = [F.coalesce(f"s{i}", F.lit(0.0)) / F.col("n") for i in range(dimension)]
+    return sizes.join(known, "doc_id", "left").select("doc_id", F.array(*means).cast("array<double>").alias("vector"))
 
 
 def nearest_euclid(words: DataFrame, vectors: DataFrame, target: str, n: int = NEAREST) -> DataFrame:

@@ -65,12 +65,13 @@ def graph_size(graph: Graph) -> DataFrame:
 
 
 def triplets(graph: Graph) -> DataFrame:
-    """Each edge with the attributes of both its vertices, prefixed ``src_`` and ``dst_``."""
+    """Each edge with the attributes of both its vertices, prefixed ``src_`` and ``dst_``; nulls
+    for an end that has no vertex row. Hot vertices are left to Spark's skewed joins: the edges
+    are the side that they may split."""
     found = graph.edges
     for end in ("src", "dst"):
         names = [F.col(c).alias(end if c == "id" else f"{end}_{c}") for c in graph.vertices.columns]
-        counts = graph.edges.groupBy(end).agg(F.count("*").alias("n"))
-        found = look_up(found, graph.vertices.select(*names), end, counts=counts)
+        found = found.join(graph.vertices.select(*names), end, "left")
     return found
 
 
@@ -114,19 +115,13 @@ def neighbour_ids(edges: DataFrame) -> DataFrame:
     return both_directions(edges).groupBy("id", "neighbour").agg(F.count("*").alias("n"))
 
 
-def induced_subgraph(graph: Graph, ids: DataFrame, few: bool = False) -> Graph:
+def induced_subgraph(graph: Graph, ids: DataFrame) -> Graph:
     """Vertices in ``ids(id)``, and the edges that have both ends among them.
 
-    ``few`` says that the ids are known to be a handful: then nothing else is shuffled.
+    Few ids are broadcast if Spark finds them small when it runs; of many, the edges of hot
+    vertices are split by its skewed joins.
     """
-    if few:
-        ids = F.broadcast(ids)
     edges = graph.edges
     for end in ("src", "dst"):
-        wanted = ids.select(F.col("id").alias(end))
-        if few:
-            edges = edges.join(wanted, end, "left_semi")
-        else:
-            counts = graph.edges.groupBy(end).agg(F.count("*").alias("n"))
-            edges = look_up(edges, wanted, end, "left_semi", counts)
+        edges = edges.join(ids.select(F.col("id").alias(end)), end, "left_semi")
     return Graph(graph.vertices.join(ids, "id", "left_semi"), edges.select(*graph.edges.columns))

@@ -41,10 +41,8 @@ def outlinks(edges: Column) -> Column:
     return F.array_sort(F.array_distinct(F.transform(edges, lambda e: e["dst"])))
 
 
-def link_edges(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
-    """``(src, dst)`` per link; ``max_pages`` takes only the first pages by title."""
-    if max_pages is not None:
-        pages = pages.orderBy("title").limit(max_pages)
+def link_edges(pages: DataFrame) -> DataFrame:
+    """``(src, dst)`` per link."""
     return pages.select(F.inline("edges"))
 
 

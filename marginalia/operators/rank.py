@@ -18,7 +18,6 @@ TOP = 10
 # leaves such ties to the label.
 SORT_DIGITS = 9
 ROUNDS_PER_WRITE = 5
-FEW_ROWS_PER_TASK = 2_000
 
 
 def _rank_edges(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -66,16 +65,13 @@ def page_rank(
     The rank of a vertex without links out is not handed on.
 
     The edges are laid out once by source, hub sources split, and kept that way: a round
-    shuffles the ranks and the partial sums, never the edges. A graph that leaves the
-    tasks few rows is left to the planner instead.
+    shuffles the ranks and the partial sums, never the edges.
     """
     if tol is None and max_iter is None:
         raise ValueError("give tol, max_iter or both")
     laid_out, vertices = _rank_edges(edges, scratch)
     width = shuffle_width(edges)
-    if laid_out.count() > FEW_ROWS_PER_TASK * width:
-        laid_out = laid_out.repartition(width, "src", SALT)
-        laid_out = laid_out.sortWithinPartitions("src", SALT)
+    laid_out = laid_out.repartition(width, "src", SALT).sortWithinPartitions("src", SALT)
     laid_out = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
     laid_out.count()  # only a filled cache tells the planner its size and partitioning
 
@@ -136,11 +132,11 @@ def top_neighbours(
     """``(id, neighbour, label, rank, place)``: ``k`` neighbours of each vertex in ``top(id)``.
 
     A neighbour joined by several edges takes several places. ``neighbour_order="asc"`` begins
-    with the lowest rank, ``"desc"`` with the highest. ``top`` has to be small.
+    with the lowest rank, ``"desc"`` with the highest.
     """
     if neighbour_order not in ("asc", "desc"):
         raise ValueError(f"neighbour_order must be 'asc' or 'desc', not {neighbour_order!r}")
-    around = both_directions(edges).join(F.broadcast(top.select("id")), "id", "left_semi")
+    around = both_directions(edges).join(top.select("id"), "id", "left_semi")
     counts = around.groupBy("id", "neighbour").agg(F.count("*").alias("n"))
     # A neighbour has one row per vertex in top, so no key of this join is hot.
     found = counts.join(ranked.withColumnRenamed("id", "neighbour"), "neighbour")
@@ -176,7 +172,7 @@ def top_rank_subgraph(
     The few ids are written first, as three joins need them.
     """
     ids = scratch.keep(top_rank_ids(graph, ranks, k, neighbour_order), "top_rank_ids")
-    return induced_subgraph(graph, ids, few=True)
+    return induced_subgraph(graph, ids)
 
 
 def viewable(graph: Graph) -> Graph:

@@ -15,14 +15,15 @@ from marginalia.operators.graph import Graph, build_graph
 from marginalia.scratch import Scratch
 from marginalia.sources.dump import spread_out
 
-# One page per document. Pages link within blocks of ten; every third block also links to one
+# One page per document, of which some are talk or without text where a query filters articles
+# (MIXED); otherwise every document is an article (PLAIN). Pages link within blocks of ten; every third block also links to one
 # hub page and, by section, to nowhere. So a third of the pages share a link target, and the
 # rest falls into many components.
 WIKITEXT_SQL = """
 SELECT doc_id,
   'Doc ' || CAST(doc_id AS STRING) AS title,
-  CAST(CASE WHEN doc_id % 5 = 4 THEN 1 ELSE 0 END AS BIGINT) AS ns,
-  CASE WHEN doc_id % 50 = 23 THEN NULL ELSE
+  CAST({ns} AS BIGINT) AS ns,
+  CASE WHEN {missing} THEN NULL ELSE
     '== Titre ==' || chr(10)
     || repeat(chr(39), 3) || 'Doc' || repeat(chr(39), 3) || ' voir [[Doc '
     || CAST(doc_id - doc_id % 10 + (doc_id * 7 + 1) % 10 AS STRING) || '#Histoire|alias]] et [[Doc '
@@ -38,6 +39,9 @@ SELECT doc_id,
 FROM (SELECT *, (doc_id * 13 + 5) % (doc_id - doc_id % 30 + 30) AS t FROM {documents}) d
 """
 
+MIXED = {"ns": "CASE WHEN doc_id % 5 = 4 THEN 1 ELSE 0 END", "missing": "doc_id % 50 = 23"}
+PLAIN = {"ns": "0", "missing": "FALSE"}
+
 # A property graph over all documents, where each tenth edge or so names no known vertex.
 PROPERTY_VERTICES_SQL = """
 SELECT doc_id AS id, 'Doc ' || CAST(doc_id AS STRING) AS name, lang AS role FROM {documents}
@@ -50,10 +54,10 @@ FROM {documents}
 """
 DEFAULT_VERTEX = {"name": "DEFAULT_USER", "role": "MISSING"}
 
-# Three words of every benchmark item make one word-arithmetic query.
+# All words of a benchmark item make one word-arithmetic query.
 WORD_QUERIES_SQL = """
 SELECT item_id AS query_id,
-  split_part(text, ' ', 2) || ' + ' || split_part(text, ' ', 3) || '-' || split_part(text, ' ', 4) AS expr
+  replace(text, ' ', ' + ') AS expr
 FROM {benchmark}
 """
 
@@ -70,23 +74,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def wikitext(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return spark.sql(WIKITEXT_SQL, documents=documents)
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spread_out(table(spark, sf_dir, "documents").select("doc_id", "text"), tasks)
+
+
+def wikitext_sql(kinds: dict[str, str]) -> str:
+    """The view, with the name of its table still to be filled in."""
+    return WIKITEXT_SQL.replace("{ns}", kinds["ns"]).replace("{missing}", kinds["missing"])
+
+
+def wikitext(spark: SparkSession, sf_dir: str, kinds: dict[str, str] = PLAIN) -> DataFrame:
+    return spark.sql(wikitext_sql(kinds), documents=_documents(spark, sf_dir))
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, tokens)`` with the blank-parted words of every document."""
-    documents = spread_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return documents.select("doc_id", F.split(F.lower("text"), " ").alias("tokens"))
+    return _documents(spark, sf_dir).select("doc_id", F.split(F.lower("text"), " ").alias("tokens"))
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_ops.articles(wikitext(spark, sf_dir))
+def articles(spark: SparkSession, sf_dir: str, kinds: dict[str, str] = PLAIN) -> DataFrame:
+    return page_ops.articles(wikitext(spark, sf_dir, kinds))
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return page_ops.with_links_and_clean_text(articles(spark, sf_dir))
+def pages(spark: SparkSession, sf_dir: str, kinds: dict[str, str] = PLAIN) -> DataFrame:
+    return page_ops.with_links_and_clean_text(articles(spark, sf_dir, kinds))
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +148,7 @@ def word_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_dump(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
     """Write all pages as an XML dump; returns its path."""
     body = F.struct(F.col("text").alias("_VALUE"), F.lit("preserve").alias("_xml:space"))
-    dump = wikitext(spark, sf_dir).select(
+    dump = wikitext(spark, sf_dir, MIXED).select(
         "title", "ns", F.struct(F.when(F.col("text").isNotNull(), body).alias("text")).alias("revision")
     )
     path = scratch.file("dump.xml")

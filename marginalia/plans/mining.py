@@ -25,13 +25,12 @@ def import_dump(
     spark: SparkSession,
     path: str,
     folder: str,
-    max_pages: int | None = None,
     tag_mode: str = "default",
 ) -> tuple[DataFrame, Graph]:
     """Import a dump into ``folder``: parse and clean it once, then build the graph from the
-    written pages. ``max_pages`` builds the graph from the first pages by title only."""
+    written pages."""
     pages = store.save_pages(read_pages(spark, path, tag_mode), folder)
-    graph = build_graph(page_ops.link_edges(pages, max_pages), Scratch(spark))
+    graph = build_graph(page_ops.link_edges(pages), Scratch(spark))
     return pages, store.save_graph(graph, folder)
 
 
@@ -63,18 +62,32 @@ def count_communities(graph: Graph) -> DataFrame:
     return community_count(connected_components(graph.edges, Scratch(graph.edges.sparkSession)))
 
 
-def embed(pages: DataFrame, dimension: int, window: int, iterations: int) -> DataFrame:
-    """The vector table of the words in the pages."""
-    model = embedding.train_word_vectors(corpus.sentences(pages), dimension, window, iterations)
-    return embedding.vector_table(model)
+def embed(
+    pages: DataFrame, dimension: int, window: int, iterations: int, folder: str | None = None, **training: int
+) -> DataFrame:
+    """The vector table of the words in the pages; ``training`` takes ``min_count``, ``partitions``
+    and ``seed``. With a ``folder`` the vectors are written there once and read from there, so the
+    driver need not send them along with every later answer."""
+    return _vectors(corpus.sentences(pages), dimension, window, iterations, folder, training)
 
 
 def embed_lines(
-    lines: DataFrame, dimension: int = 300, window: int = 10, iterations: int = 3
+    lines: DataFrame, dimension: int = 300, window: int = 10, iterations: int = 3, folder: str | None = None, **training: int
 ) -> DataFrame:
-    """The vector table of the words in a line file."""
-    model = embedding.train_word_vectors(corpus.line_tokens(lines), dimension, window, iterations)
-    return embedding.vector_table(model)
+    """The vector table of the words in a line file; see ``embed``."""
+    return _vectors(corpus.line_tokens(lines), dimension, window, iterations, folder, training)
+
+
+def _vectors(tokens: DataFrame, dimension: int, window: int, iterations: int, folder: str | None, training: dict) -> DataFrame:
+    model = embedding.train_word_vectors(tokens, dimension, window, iterations, **training)
+    found = embedding.vector_table(model)
+    return store.save_vectors(found, folder) if folder else found
+
+
+def nearest_in_lines(lines: DataFrame, target: str, folder: str, n: int = embedding.NEAREST, **training: int) -> DataFrame:
+    """``(word, distance)``: train on a line file and find the words nearest to a target."""
+    vectors = embed_lines(lines, folder=folder, **training)
+    return embedding.nearest_euclid(corpus.corpus_words(corpus.line_tokens(lines)), vectors, target, n)
 
 
 def answer(vectors: DataFrame, query: str, n: int) -> DataFrame:

@@ -9,7 +9,8 @@ from marginalia.operators.rank import ROUNDS_PER_WRITE, SORT_DIGITS, TOLERANCE,
 from marginalia.plans import inputs
 from marginalia.plans.registered import DIGITS, NEAREST
 
-WP = "wp AS (" + inputs.WIKITEXT_SQL.format(documents="documents") + ")"
+WP = "wp AS (" + inputs.wikitext_sql(inputs.PLAIN).format(documents="documents") + ")"
+MIXED_WP = "wp AS (" + inputs.wikitext_sql(inputs.MIXED).format(documents="documents") + ")"
 ART = "art AS (SELECT title, text FROM wp WHERE ns = 0 AND text IS NOT NULL)"
 
 TEMPLATE = r"\{\{[^{}]*\}\}"
@@ -159,7 +160,7 @@ whole AS (
 
 def _triplets(vertices: str) -> str:
     return f"""SELECT src, dst, attr, s.name AS src_name, s.role AS src_role, d.name AS dst_name,
-  d.role AS dst_role FROM pe JOIN {vertices} s ON s.id = src JOIN {vertices} d ON d.id = dst"""
+  d.role AS dst_role FROM pe LEFT JOIN {vertices} s ON s.id = src LEFT JOIN {vertices} d ON d.id = dst"""
 
 
 VECTORS = "vec AS (SELECT vec_id, 'w' || vec_id AS word, embedding::DOUBLE[] AS a FROM embeddings)"
@@ -224,6 +225,9 @@ ORACLES: dict[str, str] = {
     "page_outlinks": f"""{READ} SELECT title, coalesce(o.outlinks, '') AS outlinks FROM art LEFT JOIN (
   SELECT src, string_agg(dst, '|' ORDER BY dst) AS outlinks
   FROM (SELECT DISTINCT src, dst FROM links) d GROUP BY src) o ON title = src""",
+    "load_session": f"""{READ}, {VERTICES} SELECT (SELECT count(*) FROM links) AS edges,
+  (SELECT count(*) FROM verts) AS vertices, (SELECT count(*) FROM art) AS pages""",
+    "lines_nearest": "SELECT 'the' AS word, CAST(0 AS DOUBLE) AS distance",
     # cleaning
     **{
         f"clean_t{i}": f"WITH {WP}, {ART} SELECT title, {step('text')} AS text FROM art"
@@ -307,3 +311,7 @@ FROM spots LEFT JOIN sums USING (doc_id, place)""",
     "word2vec_lines": f"""WITH {LINES} SELECT word, 300 AS dimension
   FROM (SELECT unnest(tokens) AS word FROM line_corpus) x GROUP BY word HAVING count(*) >= 5""",
 }
+
+# These filter articles, so theirs is the view with pages of other kinds.
+for _name in ("dump_scan", "articles", "import_pages", "import_dump", "load_session", "page_count"):
+    ORACLES[_name] = ORACLES[_name].replace(WP, MIXED_WP)

@@ -48,7 +48,7 @@ def dump_scan(spark, sf_dir):
 
 @query
 def articles(spark, sf_dir):
-    return inputs.articles(spark, sf_dir)
+    return inputs.articles(spark, sf_dir, inputs.MIXED)
 
 
 def _flat_pages(found: DataFrame) -> DataFrame:
@@ -66,7 +66,19 @@ def import_pages(spark, sf_dir):
 def import_dump(spark, sf_dir):
     scratch = Scratch(spark)
     path = inputs.write_dump(spark, sf_dir, scratch)
-    found, built = mining.import_dump(spark, path, scratch.file("import"))
+    return _session_size(*mining.import_dump(spark, path, scratch.file("import")))
+
+
+@query
+def load_session(spark, sf_dir):
+    """What an import has saved, as a later session loads it."""
+    scratch = Scratch(spark)
+    folder = scratch.file("import")
+    mining.import_dump(spark, inputs.write_dump(spark, sf_dir, scratch), folder)
+    return _session_size(*mining.load(spark, folder))
+
+
+def _session_size(found: DataFrame, built: graph.Graph) -> DataFrame:
     counted = pages.page_count(found).scalar()
     return graph.graph_size(built).withColumn("pages", counted)
 
@@ -86,7 +98,7 @@ def pages_export_json(spark, sf_dir):
 
 @query
 def page_count(spark, sf_dir):
-    return pages.page_count(inputs.pages(spark, sf_dir))
+    return pages.page_count(inputs.pages(spark, sf_dir, inputs.MIXED))
 
 
 @query
@@ -404,8 +416,9 @@ def vocabulary(spark, sf_dir):
 
 @query
 def word2vec_vocab(spark, sf_dir):
-    written = Scratch(spark).file("saved")
-    known = mining.embed(store.save_pages(inputs.pages(spark, sf_dir), written), 50, 3, 2)
+    scratch = Scratch(spark)
+    saved = store.save_pages(inputs.pages(spark, sf_dir), scratch.file("saved"))
+    known = mining.embed(saved, 50, 3, 2, folder=scratch.file("vectors"))
     return known.select("word", F.size("vector").alias("dimension"))
 
 
@@ -413,3 +426,13 @@ def word2vec_vocab(spark, sf_dir):
 def word2vec_lines(spark, sf_dir):
     lines = scan_lines(spark, inputs.write_lines(spark, sf_dir, Scratch(spark)))
     return mining.embed_lines(lines).select("word", F.size("vector").alias("dimension"))
+
+
+@query
+def lines_nearest(spark, sf_dir):
+    """The example of the line file: train, then look for the words nearest to one. A trained word
+    is nearest to itself; the others differ from run to run."""
+    scratch = Scratch(spark)
+    lines = scan_lines(spark, inputs.write_lines(spark, sf_dir, scratch), tasks=64)
+    found = mining.nearest_in_lines(lines, "the", scratch.file("vectors"), n=1, seed=7)
+    return found.select("word", _rounded("distance"))

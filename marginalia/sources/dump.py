@@ -33,18 +33,18 @@ PAGE_START, PAGE_END = "<page>", "</page>"
 XML_OPTIONS = {"rowTag": "page", "ignoreSurroundingSpaces": "false"}
 
 
-def spread_out(rows: DataFrame) -> DataFrame:
-    """Deal the rows of a source that has few splits out over all cores.
+def spread_out(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """Deal the rows out over so many tasks; None leaves them as the source splits them.
 
     Cleaning costs far more than reading, and one compressed dump or one row group would keep
-    it all in one task. A source with splits enough is left as it is.
+    it all in one task.
     """
-    width = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(width) if 2 * rows.rdd.getNumPartitions() <= width else rows
+    return rows.repartition(tasks) if tasks else rows
 
 
-def scan_dump(spark: SparkSession, path: str) -> DataFrame:
-    """``(title, ns, text)``, one row per page element, in as many tasks as the file has splits.
+def scan_dump(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    """``(title, ns, text)``, one row per page element, in as many tasks as the file has splits, or
+    in ``tasks``, which a compressed dump that cannot be split needs.
 
     The XML reader takes one big file in a single task, while the text reader splits it at any
     record separator. So the end tag parts the records, and each record is parsed on its own.
@@ -55,7 +55,7 @@ def scan_dump(spark: SparkSession, path: str) -> DataFrame:
     start = F.instr("value", PAGE_START)
     page = F.concat(F.expr(f"substring(value, instr(value, '{PAGE_START}'))"), F.lit(PAGE_END))
     return (
-        spread_out(records.filter(start > 0))
+        spread_out(records.filter(start > 0), tasks)
         .select(F.inline(F.array(F.from_xml(page, PAGE_SCHEMA, XML_OPTIONS))))
         .select("title", "ns", F.col("revision.text._VALUE").alias("text"))
     )

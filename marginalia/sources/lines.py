@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marginalia.sources.dump import spread_out
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(value)`` per line; the reader splits large files by ``maxPartitionBytes``."""
-    return spark.read.text(path)
+
+def scan_lines(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    """``(value)`` per line; the reader splits large files by ``maxPartitionBytes``. ``tasks`` deals
+    the lines of small or compressed files out over so many tasks."""
+    return spread_out(spark.read.text(path), tasks)

@@ -54,3 +54,13 @@ def export_json(df: DataFrame, path: str, single_file: bool = False) -> None:
     """One JSON object per row. A single file means a single task, so only small results
     should ask for it."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite").json(path)
+
+
+def save_vectors(vectors: DataFrame, folder: str) -> DataFrame:
+    """Write a vector table and return it as read back."""
+    vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
+    return load_vectors(vectors.sparkSession, folder)
+
+
+def load_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("word string, vector array<double>").parquet(f"{folder}/vectors")

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -68,10 +69,9 @@ def test_distance_and_documents(spark, table):
     documents = spark.createDataFrame(
         [(1, ["a", "zzz"]), (2, []), (3, ["c", "c", "b"]), (4, ["zzz"])], "doc_id int, tokens array<string>"
     )
-    for shipped in (e.SHIPPED_TABLE_NUMBERS, 0):
-        found = {r.doc_id: r.vector for r in e.document_vectors(documents, table, shipped).collect()}
-        assert found[1] == [0.5, 0.0] and found[2] == [0.0, 0.0] and found[4] == [0.0, 0.0]
-        assert found[3] == pytest.approx([2 / 3, 1.0])
+    found = {r.doc_id: r.vector for r in e.document_vectors(documents, table).collect()}
+    assert found[1] == [0.5, 0.0] and found[2] == [0.0, 0.0] and found[4] == [0.0, 0.0]
+    assert found[3] == pytest.approx([2 / 3, 1.0])
 
 
 @pytest.fixture(scope="module")
@@ -98,12 +98,14 @@ def brute_force(rows, queries, n):
     return found
 
 
-@pytest.mark.parametrize("shipped", [e.SHIPPED_NUMBERS, 8 * 7])
-def test_many_queries(many, shipped, monkeypatch):
-    """Both ways, few queries sent along and many dealt out in blocks, are exact."""
+@pytest.mark.parametrize("block, tile", [(2048, 1 << 21), (7, 150)])
+def test_many_queries(many, block, tile, monkeypatch):
+    """In one block or in many, and in tiles of any size, the result is exact."""
     monkeypatch.setattr(e, "SLICE_WORDS", 100)
+    monkeypatch.setattr(e, "BLOCK_QUERIES", block)
+    monkeypatch.setattr(e, "TILE", tile)
     table, queries, rows, plain_queries = many
-    found = e.similar_words(queries, table, 7, shipped)
+    found = e.similar_words(queries, table, 7)
     got = sorted((r.query_id, r.place, r.word) for r in found.collect())
     assert got == brute_force(rows, plain_queries, 7)
 
@@ -113,6 +115,16 @@ def test_nearest_words_need_no_full_sort(table):
     assert "TakeOrderedAndProject" in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_a_block_of_queries_stays_small():
+    """2,048 queries on 20,000 words never hold all their similarities."""
+    dice = np.random.default_rng(1)
+    words = np.array([f"w{i}" for i in range(20_000)])
+    tracemalloc.start()
+    found = e._best_per_query(np.arange(2_048), dice.normal(size=(2_048, 8)), words, dice.normal(size=(20_000, 8)), 5)
+    assert len(found) == 5 * 2_048 and tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
 def test_training(spark):
     tokens = spark.createDataFrame([(["a", "b", "c"],)] * 5 + [(["rare"],)] * 4, "tokens array<string>")
     model = e.train_word_vectors(tokens, 6, 3, 1, partitions=2)

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginalia.operators.graph import edge_ends
-from marginalia.operators.skew import look_up
 from marginalia.scratch import Scratch
 
 
@@ -20,7 +19,7 @@ def _large_star(pairs: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a vertex onto the smallest one around that vertex."""
     centres = _smallest(pairs, "low")
     return (
-        look_up(pairs, centres, "low", how="left")
+        pairs.join(centres, "low", "left")
         .select(
             "high",
             F.coalesce("lowest", "low").alias("low"),
@@ -38,7 +37,7 @@ def _small_star(pairs: DataFrame) -> DataFrame:
     hangs = F.struct(F.col("low").alias("high"), F.col("lowest").alias("low"), F.lit(True).alias("moved"))
     both = F.when(F.col("low") == F.col("lowest"), F.array(stays)).otherwise(F.array(stays, hangs))
     return (
-        look_up(pairs, centres, "high")
+        pairs.join(centres, "high")
         .select(F.inline(both))
         .groupBy("high", "low")
         .agg(F.max("moved").alias("moved"))
@@ -50,6 +49,8 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
     Every round rewrites a table no larger than the edges. The rounds end when none of its
     rows moved, that is, when each vertex hangs directly onto a vertex that hangs onto nothing.
+    The pairs are the large side of both joins, which Spark splits where a vertex is hot; no
+    round counts its keys.
     """
     pairs = (
         edges.filter(F.col("src") != F.col("dst"))

@@ -34,6 +34,9 @@ SLICE_WORDS = 20_000
 TILE = 1 << 21
 
 MATCH_SCHEMA = "query_id bigint, word string, similarity double"
+NO_MATCHES = pd.DataFrame(
+    {"query_id": pd.Series(dtype="int64"), "word": pd.Series(dtype="object"), "similarity": pd.Series(dtype="float64")}
+)
 
 
 def train_word_vectors(
@@ -184,7 +187,7 @@ def similar_words(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
 
     def match(asked: pd.DataFrame, searched: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or searched.empty:
-            return pd.DataFrame({"query_id": [], "word": [], "similarity": []})
+            return NO_MATCHES
         return _best_per_query(
             asked["query_id"].to_numpy(),
             np.stack(asked["vector"].to_numpy()),

@@ -116,13 +116,10 @@ class Session:
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
 
 def test_scratch_folder():
     assert Scratch(Session("yarn", "hdfs://host/shared/")).path.startswith("hdfs://host/shared/")
     with pytest.raises(ValueError):
         shared_folder(Session("yarn"))
-    local = Session("local[2]")
-    assert shared_folder(local) == shared_folder(local) == local.folder
+    with pytest.raises(ValueError):
+        shared_folder(Session("local[2]"))

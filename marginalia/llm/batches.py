@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from marginalia.scratch import Scratch
 
 LENGTH = 100
 GRAM = 32
-SLICE = 2 << 20
+SLICE = 1 << 19
 SHARDS = 4
 BUCKET_BYTES = 400_000
 CROWD = 1000

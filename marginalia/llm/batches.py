@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,6 +28,15 @@ def as_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a worker serves many tasks, and its executor has a limit."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``most`` bytes in ``column``, one row at least."""
     for batch in batches:
@@ -37,6 +48,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYT
             last = max(first + 1, int(np.searchsorted(at, at[first] + most, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
+    release()
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:

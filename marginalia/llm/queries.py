@@ -78,7 +78,7 @@ def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def op3_quotation_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotations(mail(table(spark, sf_dir, "conversations")), Scratch(spark))
+    return link_quotations(mail(table(spark, sf_dir, "conversations")), Scratch(spark), apart=True)
 
 
 LLM_ORACLES["op3_quotation_threads"] = (

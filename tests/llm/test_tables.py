@@ -133,6 +133,36 @@ def test_quotes_lead_to_their_messages(spark, scratch):
     assert quotations.link_quotations(quotations.mail(messages), scratch).count() == 11
 
 
+def test_parts_of_messages_are_quoted(spark, scratch):
+    """Single paragraphs, single lines, some lines of a paragraph, and answers below each in turn."""
+    first = "Where do we meet?\n\nBring the map\nand a lamp\nand two ropes\n\nSee you"
+    rows = [
+        (1, 0, "a", first), (1, 1, "b", "See you\nsoon, says another line"),
+        (1, 2, "c", "> Bring the MAP\n> and a lamp\n> and two ropes\n\none paragraph"),
+        (1, 3, "d", "> and a  lamp\none line"),
+        (1, 4, "e", "> and a lamp\n> and two ropes\n> See you\nsome lines, the longest decides"),
+        (1, 5, "f", "> Where do we meet?\nhere\n\n> Bring the map\n> and a lamp\n> and two ropes\nyes\n>> said by none\n> See you\nbye"),
+        (1, 6, "g", "> > Where do we meet?\n> here\nan inline answer"), (1, 7, "h", "> soon\nonly a part of a line"),
+        (1, 8, "i", "Bring the map\r\n\r\nand more\r\nto come\r"), (1, 9, "j", "> and more\r\n> to come\r\nends of lines"),
+        (1, 10, "k", "See you"), (1, 11, "l", "and so on\nSee you"), (1, 12, "m", "> See you\nthe one that says just that"),
+    ]
+    got = {r.turn: r for r in quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), scratch).collect()}
+    parents = {t: r.parent_turn for t, r in got.items() if r.parent_turn is not None}
+    assert parents == {2: 0, 3: 0, 4: 0, 5: 0, 6: 5, 9: 8, 12: 10}
+    assert {t: (r.n_quotes, r.n_linked) for t, r in got.items() if r.n_quotes} == {
+        2: (1, 1), 3: (1, 1), 4: (1, 1), 5: (4, 3), 6: (2, 2), 7: (1, 0), 9: (1, 1), 12: (1, 1)
+    }
+    assert got[5].text == "here\nyes\nbye" and (got[6].root_turn, got[6].depth) == (0, 2)
+
+
+def test_messages_of_one_turn_stay_apart(spark, scratch):
+    rows = [(1, 0, "a", "one"), (1, 0, "b", "two"), (1, 0, "b", "two"), (1, 0, None, None), (1, 1, "a", "> two\nleft"), (1, 1, "a", "> one\nright"), (1, 2, "b", "> left\nend")]
+    got = quotations.link_quotations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), scratch, apart=True).collect()
+    assert sorted((r.turn, r.role or "", r.text, r.parent_turn, r.depth) for r in got) == [
+        (0, "", "", None, 0), (0, "a", "one", None, 0), (0, "b", "two", None, 0), (1, "a", "left", 0, 1), (1, "a", "right", 0, 1), (2, "b", "end", 1, 2),
+    ]
+
+
 def test_long_threads_and_far_quotes(spark, scratch, monkeypatch):
     """A chain of replies, and quotes of a passage said in an earlier block of turns."""
     monkeypatch.setattr(quotations, "TURNS_PER_BLOCK", 8)

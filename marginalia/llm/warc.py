@@ -119,6 +119,13 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    return (
+        spark.read.option("lineSep", MARK.decode()).text(path)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("piece"))
+    )
+
+
 def candidate_records(spark: SparkSession, path: str) -> DataFrame:
     """Every mark in the files: its byte offset, what follows it, and the offset it points to.
 
@@ -126,11 +133,7 @@ def candidate_records(spark: SparkSession, path: str) -> DataFrame:
     piece or in one mark, sums of lengths give the offsets: within a split as it is read, and
     over the splits of a file by a sum of one number each.
     """
-    pieces = (
-        spark.read.option("lineSep", MARK.decode()).text(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("piece"))
-    )
-    return pieces.mapInArrow(_candidates, CANDIDATE)
+    return _pieces(spark, path).mapInArrow(_candidates, CANDIDATE)
 
 
 def with_offsets(found: DataFrame) -> DataFrame:
@@ -172,12 +175,53 @@ def reachable(chain: DataFrame, scratch: Scratch) -> DataFrame:
             return state.filter("reached").select("file", "offset")
 
 
+def _first_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pieces of a split whose marks stand before ``upto`` bytes of it, raw."""
+    here, at = None, 0
+    for batch in batches:
+        rows = []
+        for file, block, upto, piece in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if (file, block) != here:
+                here, at = (file, block), 0
+            if at - len(MARK) < upto:
+                rows.append((file, block, at, piece))
+            at += len(piece) + len(MARK)
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["file", "block", "place", "raw"])
+
+
+def _raw_pieces(spark: SparkSession, path: str, found: DataFrame, kept: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(file, offset, head, body, digest, raw)`` of every piece that may belong to an open payload.
+
+    Within a split they were handed on as it was read. Payloads that run on into later splits of
+    their file are known by now: the largest open end of the splits before is carried along, one
+    number per split, and only where it reaches into a split are the pieces read again.
+    """
+    ends = F.max(F.when(F.col("real") & F.col("digest").isNull(), F.col("next") - len(BREAK)))
+    splits = found.join(kept, ["file", "offset"], "left").groupBy("file", "block").agg(F.first("start").alias("start"), ends.alias("end"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    reached = splits.select("file", "block", (F.max("end").over(earlier) - F.col("start")).alias("upto")).filter("upto > 0")
+    reached = scratch.keep(reached, "reached")
+    columns = ["file", "offset", "head", "body", "digest", "raw"]
+    handed_on = found.filter(F.col("raw").isNotNull()).select(*columns)
+    if reached.isEmpty():
+        return handed_on
+    # Broadcast, one number per split: the pieces of a split stay in their order.
+    again = _pieces(spark, path).join(F.broadcast(reached), ["file", "block"]).select("file", "block", "upto", "piece")
+    again = again.mapInArrow(_first_pieces, "file string, block long, place long, raw binary")
+    missing = found.filter(F.col("raw").isNull()).drop("raw").join(again, ["file", "block", "place"])
+    return handed_on.unionByName(missing.select(*columns))
+
+
 def _join_pieces(rows):
     """The digest of one record's payload that spans several pieces."""
     rows = rows.sort_values("offset")
     first = rows.iloc[0]
     whole = MARK.join(bytes(r) for r in rows["raw"])
     payload = whole[int(first["head"]) :][: int(first["body"])]
+    if len(payload) != int(first["body"]):
+        raise ValueError(f"{first['file']}: {len(payload)} of {int(first['body'])} bytes of the record at {int(first['owner'])}")
     return rows.iloc[:1][["file", "owner"]].assign(joined=base32_sha1(payload))
 
 
@@ -186,14 +230,14 @@ def read_warc(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
 
     Length and digest are of the full payload; a revisit takes them from the record it refers to,
     or nulls if that is not there. Unreachable candidates are no records. An archive without
-    records gives no rows.
+    records gives no rows; one that ends within a payload is an error.
     """
-    found = scratch.keep(with_offsets(candidate_records(spark, path)).drop("block", "place", "start", "size"), "candidates")
+    found = scratch.keep(with_offsets(candidate_records(spark, path)).drop("size"), "candidates")
     kept = reachable(found.filter("offset >= 0").select("file", "offset", "next"), scratch).withColumn("real", F.lit(True))
     # A piece with no record of its own belongs to the record before it in its file. Only pieces
     # that were handed on raw are looked at, and a file's pieces are bounded by the file.
     before = Window.partitionBy("file").orderBy("offset")
-    raw = found.filter(F.col("raw").isNotNull()).join(kept, ["file", "offset"], "left")
+    raw = _raw_pieces(spark, path, found, kept, scratch).join(kept, ["file", "offset"], "left")
     owned = raw.withColumn("owner", F.last(F.when(F.col("real"), F.col("offset")), ignorenulls=True).over(before))
     open_ones = F.sum(F.when(F.col("real") & F.col("digest").isNull(), 1)).over(Window.partitionBy("file", "owner"))
     long = (

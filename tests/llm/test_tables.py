@@ -111,6 +111,28 @@ def test_offsets_hold_over_splits(spark, scratch):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_open_payloads_are_followed_over_splits(spark, scratch):
+    """Payloads that hold the mark many times and run on into one or several later splits."""
+    path = scratch.file("plain")
+    bodies = [f"body {i} WARC/1.0\r\n" * (400 if i % 20 == 0 else i % 8) for i in range(100)]
+    records = [warc._record(i, "u", None, "D", b.encode()).decode() for i, b in enumerate(bodies)]
+    spark.createDataFrame([(r,) for r in records], "value string").coalesce(1).write.option("lineSep", "\r\n\r\n").text(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.read_warc(spark, path, scratch).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {i: (len(b), warc.base32_sha1(b.encode())) for i, b in enumerate(bodies)}
+
+
+def test_payloads_that_end_early_are_an_error(spark, scratch):
+    path = scratch.file("plain")
+    record = warc._record(1, "u", None, "D", b"all of it").decode()[:-4]
+    spark.createDataFrame([(record,)], "value string").coalesce(1).write.text(path)
+    with pytest.raises(Exception, match="of 9 bytes of the record at 0"):
+        warc.read_warc(spark, path, scratch).collect()
+
+
 def test_quotes_lead_to_their_messages(spark, scratch):
     rows = [
         (1, 0, "a", "Hello there\nhow are you"),

@@ -13,7 +13,7 @@ from marginalia.llm.jaccard_join import near_documents
 from marginalia.llm.packing import packed
 from marginalia.llm.ranking import keep_good
 from marginalia.llm.suffix_dedup import without_repeats
-from marginalia.llm.tables import table
+from marginalia.llm.tables import numbered, table
 from marginalia.scratch import Scratch
 
 
@@ -25,12 +25,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies: the one with the smallest id.
 
-    Documents without words are in no group and stay, as do rows without an id.
+    Documents without words are in no group and stay. Every row is a document of its own, also where
+    ids repeat or are null; a row without an id comes after all others of its group.
     """
-    # Ids alone are shuffled besides the documents: a dropped one is not the smallest of its group.
-    found = near_documents(docs, Scratch(spark))
-    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    scratch, columns = Scratch(spark), docs.columns
+    if docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").isEmpty():
+        keyed, key = docs, "doc_id"
+    else:  # the ids do not tell the rows apart: their places in the order of the ids do
+        rows = scratch.keep(docs.withColumn("_row_id", F.monotonically_increasing_id()), "rows")
+        places, _ = numbered(rows.select("doc_id", "_row_id"), scratch, F.col("doc_id").asc_nulls_last(), F.col("_row_id"))
+        keyed = scratch.keep(rows.join(places.select("_row_id", F.col("place").alias("_place")), "_row_id"), "keyed")
+        key = "_place"
+    # Keys alone are shuffled besides the documents: a dropped one is not the smallest of its group.
+    found = near_documents(keyed.select(F.col(key).alias("doc_id"), "text"), scratch)
+    dropped = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(key))
+    return keyed.join(dropped, key, "left_anti").select(*columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

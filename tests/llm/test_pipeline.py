@@ -38,6 +38,17 @@ def test_stages_take_effect(spark, scratch):
     assert ends.filter("n <> all").count() == 0 and ends.count() == kept["repeated_passages"].count()
 
 
+def test_one_document_stays_of_rows_whose_ids_repeat_or_lack(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    near, other, third = text + " end", " ".join(f"other{i}" for i in range(60)), " ".join(f"third{i}" for i in range(60))
+    rows = [(5, text, "a"), (5, text, "a"), (7, near, "b"), (5, other, "c"), (None, other, "d"), (None, third, "e"), (None, third, "e"), (8, "", "f"), (8, "", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id or 0, r.text, r.source) for r in got.collect()))
+    assert kept == sorted([(5, text, "a"), (5, other, "c"), (0, third, "e"), (8, "", "f"), (8, "", "f")])
+
+
 def test_pipeline_of_no_documents(spark, scratch):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

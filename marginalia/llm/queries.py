@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marginalia.llm.bpe import document_tokens
+from marginalia.llm.decontamination import contamination
 from marginalia.llm.hilbert import document_shards
 from marginalia.llm.jaccard_join import near_documents
 from marginalia.llm.near_vectors import near_embeddings
@@ -197,3 +198,34 @@ SELECT e.vec_id, CAST(coalesce(max(c.n), 0) AS BIGINT) AS n_links, min(r.other)
 FROM embeddings e JOIN reach r ON e.vec_id = r.id LEFT JOIN counts c ON e.vec_id = c.x
 GROUP BY e.vec_id
 """
+
+
+@registered
+def op11_window_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark))
+
+
+LLM_ORACLES["op11_window_decontamination"] = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS words
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), places AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+  FROM doc_words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size
+), found AS (
+  SELECT doc_id, i, p.size, item_id FROM places p JOIN windows v ON p.size = v.size AND array_to_string(w[i:i + p.size - 1], ' ') = v.words
+), hit AS (
+  SELECT doc_id, count(DISTINCT spot) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS spot FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(t.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(t.ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM doc_words d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items t ON d.doc_id = t.doc_id
+"""

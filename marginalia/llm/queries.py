@@ -18,6 +18,7 @@ from marginalia.llm.suffix_dedup import repeats_removed
 from marginalia.llm.tables import table
 from marginalia.llm.topk_search import embedding_search
 from marginalia.llm.warc import archive_pages
+from marginalia.llm.whitening import whitened_embeddings
 from marginalia.scratch import Scratch
 
 LLM_QUERIES = {}
@@ -229,3 +230,8 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(h.n, 0) AS BIG
   sha256(coalesce(t.ids, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
 FROM doc_words d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items t ON d.doc_id = t.doc_id
 """
+
+
+@registered
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_embeddings(table(spark, sf_dir, "embeddings"), Scratch(spark))

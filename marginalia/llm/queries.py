@@ -14,6 +14,7 @@ from marginalia.llm.near_vectors import near_embeddings
 from marginalia.llm.packing import packed
 from marginalia.llm.quotations import MAIL_SQL, link_quotations, mail
 from marginalia.llm.ranking import quality_scores
+from marginalia.llm.spelling import document_spellings
 from marginalia.llm.suffix_dedup import repeats_removed
 from marginalia.llm.tables import table
 from marginalia.llm.topk_search import embedding_search
@@ -235,3 +236,54 @@ FROM doc_words d LEFT JOIN hit h ON d.doc_id = h.doc_id LEFT JOIN items t ON d.d
 @registered
 def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_embeddings(table(spark, sf_dir, "embeddings"), Scratch(spark))
+
+
+@registered
+def op12_sorted_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_spellings(table(spark, sf_dir, "documents"), Scratch(spark))
+
+
+# CRC-32 by its table, over the UTF-8 bytes of letters up to U+00FF; then near words by what is left
+# of a word without one character.
+LLM_ORACLES["op12_sorted_spellings"] = r"""
+WITH RECURSIVE shifts(i, c, k) AS (
+  SELECT i, i, 0 FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM shifts WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS t FROM shifts WHERE k = 8
+), runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY 1, 2
+), points AS (
+  SELECT *, list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''), lambda c: CAST(unicode(c) AS BIGINT)) AS p FROM runs
+), summed AS (
+  SELECT run, n, xor(list_reduce(
+      flatten(list_transform(p, lambda u: CASE WHEN u < 128 THEN [u] ELSE [CAST(195 AS BIGINT), u - 64] END)),
+      lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM points, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM summed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT DISTINCT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT DISTINCT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS other_n FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+    CASE WHEN b.other_n >= 2 * w.n THEN b.other END AS form, CASE WHEN b.other_n >= 2 * w.n THEN b.other_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+), way AS (
+  SELECT word, word AS root, form AS further FROM formed
+  UNION ALL
+  SELECT w.word, f.word, f.form FROM way w JOIN formed f ON w.further = f.word
+)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM formed f JOIN way w ON f.word = w.word WHERE w.further IS NULL
+"""

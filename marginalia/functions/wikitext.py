@@ -38,33 +38,117 @@ LINEAR_DATE = r"\{\{Date(?>.*?\|)(.*?)\}\}|(\{\{Date.*)"
 LINEAR_ESCAPED_REF = ESCAPED_REF + r"|(&lt;ref&gt;.*)"
 LINEAR_NAMESPACED_LINK = r"\[\[[^\]:]*+:[^\]]*+\]\]|(\[\[[^\]]*+)"
 LINEAR_LINK = LINK + r"|(\[\[.*)"
-# These two hold on one line only: [^\]] passes ends of lines, the dot does not.
-LINEAR_LINK_PARENTHESIS = r"(\[\[[^\](]*+)\([^\])]*+\)(.*?\]\])|(\[\[[^\](]*+(?:\([^\])]*+(?:\).*)?)?)"
-LINEAR_LINK_LABEL = r"(\[\[)[^\]][^\]|]*+\|(.+?\]\])|(\[\[(?:[^\]][^\]|]*+(?:\|.*)?)?)"
-LINE_END = r"[\n\r\u0085\u2028\u2029]"
-HOPELESS = "<\ue000>"
+# [^\]] passes ends of lines, which the dot does not. Where a link goes on over lines, only its last
+# line can hold the mark that the dot follows, so all before that line is passed over as a whole. If
+# the mark is there but "]]" does not follow on its line, all up to the last "]" of it is hopeless.
+LINE_END = r"[\n\r\x{85}\x{2028}\x{2029}]"
+TO_LAST_LINE = rf"(?>[^\]]*{LINE_END})?+"
+OTHER = r"[^\]%s\n\r\x{85}\x{2028}\x{2029}]*+"
+_PARENTHESIS = rf"\({TO_LAST_LINE}{OTHER % ')'}\)"
+LINEAR_LINK_PARENTHESIS = rf"(\[\[[^\](]*+){_PARENTHESIS}(.*?\]\])|(\[\[[^\](]*+{_PARENTHESIS}.*\])|(\[\[[^\]]*+)"
+_LABEL = rf"[^\]]{TO_LAST_LINE}{OTHER % '|'}\|"
+LINEAR_LINK_LABEL = rf"(\[\[){_LABEL}(.+?\]\])|(\[\[{_LABEL}.*\])|(\[\[[^\]]*+)"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """The body with the value worked out once, however often it is named in it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _packed(high: str, low: str) -> str:
+    """Two numbers in one, in the order of the first."""
+    return f"(shiftleft(CAST({high} AS BIGINT), 32) | {low})"
+
+
+def _high(pair: str) -> str:
+    return f"CAST(shiftright({pair}, 32) AS INT)"
+
+
+def _low(pair: str) -> str:
+    return f"CAST({pair} & 4294967295 AS INT)"
+
+
+STATE, NONE = "held.state", "CAST(array() AS ARRAY<BIGINT>)"
+
+
+def _scan(items: str, start: str, step: str, when: str, found: str) -> str:
+    """Walk over an array with a state (``STATE``), from ``start`` on by ``step`` for each ``item``;
+    the numbers ``found`` at the items where ``when`` holds come as an array.
+
+    The state is copied at each step, and all that is found with it. So the walk goes by blocks of as
+    many items as there are blocks, and within a block only what is found there is copied.
+    """
+    one = f"struct({step} AS state, concat(held.found, CASE WHEN {when} THEN array({found}) ELSE {NONE} END) AS found)"
+    within = f"aggregate(some, struct(before.state AS state, {NONE} AS found), (held, item) -> {one})"
+    block = f"(before, some) -> {_let('w', within, 'struct(w.state AS state, concat(before.found, w.found) AS found)')}"
+    cut = _let("n", "CAST(greatest(ceil(sqrt(size(every))), 1) AS INT)", "transform(sequence(1, greatest(size(every), 1), n), at -> slice(every, at, n))")
+    return f"aggregate({_let('every', items, cut)}, struct({start} AS state, {NONE} AS found), {block}, end -> end.found)"
+
+
+def _closed_tags() -> str:
+    """In order, those of ``parts`` that end in a tag whose label a later part closes, each packed
+    with the first part that does.
+
+    Tags and ends of tags are sorted by label and from the last to the first, so that a walk over
+    them always has the end at hand that comes next in the text.
+    """
+    whole = "slice(parts, 1, size(parts) - 1)"
+    opening = f"""filter(transform({whole}, (part, at) ->
+      named_struct('label', CASE WHEN contains(part, '<') THEN substr(part, instr(part, '<') + 1) END, 'back', -at, 'ends', false)),
+      tag -> tag.label IS NOT NULL)"""
+    # What may stand behind an end mark: as many as there are marks, or as there are lengths of labels.
+    behind = "transform(sequence(1, marks), k -> substring_index(part, '</', -k))"
+    fitting = """transform(filter(transform(filter(lengths, k -> k + 2 <= length(part)), k -> right(part, k + 2)),
+      tail -> startswith(tail, '</')), tail -> substr(tail, 3))"""
+    labels = _let(
+        "marks",
+        "CAST((length(part) - length(replace(part, '</', ''))) / 2 AS INT)",
+        f"CASE WHEN marks <= size(lengths) THEN {behind} ELSE {fitting} END",
+    )
+    labels = f"CASE WHEN contains(part, '</') THEN {labels} ELSE CAST(array() AS ARRAY<STRING>) END"
+    ends = f"flatten(transform({whole}, (part, at) -> transform({labels}, label -> named_struct('label', label, 'back', -at, 'ends', true))))"
+    lengths = "array_distinct(transform(tags, tag -> length(tag.label)))"
+    both = f"sort_array({_let('tags', opening, f'concat(tags, {_let("lengths", lengths, ends)})')})"
+    pairs = _scan(
+        both,
+        "named_struct('label', CAST(NULL AS STRING), 'at', 0)",
+        f"CASE WHEN item.ends THEN named_struct('label', item.label, 'at', -item.back) ELSE {STATE} END",
+        f"NOT item.ends AND item.label = {STATE}.label",
+        _packed("-item.back", f"{STATE}.at"),
+    )
+    return f"sort_array({pairs})"
+
+
+def _without_tags() -> str:
+    """``page`` cut once at all ends of tags: a part leaves what stands before its tag, and one walk
+    over the tags that are closed later leaves out the parts between."""
+    left = """transform(parts, (part, at) -> CASE WHEN at = size(parts) - 1 THEN part
+      WHEN contains(part, '<') THEN substring_index(part, '<', 1) ELSE concat(part, '>') END)"""
+    # As if the last part, which ends no tag, were one: it gives the parts behind the last pair.
+    last = f"array({_packed('size(parts) - 1', '(size(parts) - 1)')})"
+    runs = _scan(
+        f"concat({_closed_tags()}, {last})",
+        "0",
+        f"CASE WHEN {_high('item')} >= {STATE} THEN {_low('item')} + 1 ELSE {STATE} END",
+        f"{_high('item')} >= {STATE}",
+        _packed(STATE, f"({_high('item')} - {STATE} + 1)"),
+    )
+    kept = f"array_join(flatten(transform({runs}, run -> slice(pieces, {_high('run')} + 1, {_low('run')}))), '')"
+    return f"page -> {_let('parts', "split(page, '>')", _let('pieces', left, kept))}"
+
+
+WITHOUT_TAGS = _without_tags()
 
 
 def strip_tags(text: Column) -> Column:
     """Drop tags, and the content of a tag whose exact label is closed later on.
 
-    A lazy search for the closing tag from every open tag is quadratic on pages full of
-    unpaired tags. So the pattern is built per page from the labels that are closed somewhere
-    on it, and of these only the open tags before the last closing one search for their end.
+    A lazy search for the closing tag from every open tag is quadratic on pages full of unpaired
+    tags, so pages with closing tags are walked over instead.
     """
-    ends = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?s)</(?=([^>]*+>))|</.*"), 1))
-    closed = F.transform(F.filter(ends, lambda end: end != ""), lambda end: F.substring(end, F.lit(1), F.length(end) - 1))
-
-    def give_up(page: Column, label: Column) -> Column:
-        behind = F.call_function("substring_index", page, F.concat(F.lit("</"), label, F.lit(">")), F.lit(-1))
-        before = F.substring(page, F.lit(1), F.length(page) - F.length(behind))
-        return F.concat(before, F.replace(behind, F.concat(F.lit("<"), label, F.lit(">")), F.lit(HOPELESS)))
-
-    quoted = F.transform(closed, lambda c: F.regexp_replace(c, r"([^\p{L}\p{N}\s])", r"\\$1"))
-    paired = F.concat(F.lit("(?s)<(?:("), F.array_join(quoted, "|"), F.lit(r")>(?:.*?</\1>)?|[^>]*+>)|(<.*)"))
-    return F.when(F.size(closed) > 0, F.regexp_replace(F.aggregate(closed, text, give_up), paired, F.lit("$2"))).otherwise(
-        F.regexp_replace(text, r"(?s)<[^>]*+>|(<.*)", "$1")
-    )
+    walked = F.element_at(F.call_function("transform", F.array(text), F.expr(WITHOUT_TAGS)), 1)
+    open_only = F.regexp_replace(text, r"(?s)<[^>]*+>|(<.*)", "$1")
+    return F.when(text.contains("</"), walked).otherwise(open_only)
 
 
 def _as_units(text: str) -> str:
@@ -129,11 +213,6 @@ def _where(text: Column, mark: str, step: Callable[[Column], Column], rounds: in
     )
 
 
-def _on_one_line(text: Column, linear: str, new: str, plain: str, plain_new: str) -> Column:
-    """The linear pattern where the page is one line, as it is after the lines were joined."""
-    return F.when(text.rlike(LINE_END), F.regexp_replace(text, plain, plain_new)).otherwise(F.regexp_replace(text, linear, new))
-
-
 def drop_move_info(text: Column) -> Column:
     """``[[Lyon]] foo ([move])`` becomes ``[[Lyon]]``."""
     return _where(text, "([", lambda t: F.regexp_replace(t, LINEAR_MOVE_INFO, "$1$2"))
@@ -169,11 +248,11 @@ def drop_escaped_refs(text: Column) -> Column:
 
 
 def drop_link_parenthesis(text: Column) -> Column:
-    return _on_one_line(text, LINEAR_LINK_PARENTHESIS, "$1$2$3", LINK_PARENTHESIS, "$1$2")
+    return F.regexp_replace(text, LINEAR_LINK_PARENTHESIS, "$1$2$3$4")
 
 
 def keep_link_label(text: Column) -> Column:
-    return _on_one_line(text, LINEAR_LINK_LABEL, "$1$2$3", LINK_LABEL, "[[$1]]")
+    return F.regexp_replace(text, LINEAR_LINK_LABEL, "$1$2$3$4")
 
 
 def drop_namespaced_links(text: Column) -> Column:

@@ -172,6 +172,49 @@ def test_linear_patterns_match_their_plain_ones(spark):
     assert found.filter("got <> want").collect() == []
 
 
+LINE_ENDS = ["\n", "\r", "\u0085", "\u2028", "\u2029", "\r\n"]
+
+
+def test_links_over_lines_match_their_plain_patterns(spark):
+    random.seed(6)
+    marks = ["[[", "[[", "]]", "[", "]", "(", ")", "|", "|", " ", "a"]
+    texts = ["".join(random.choice(marks + LINE_ENDS * (i % 2)) for _ in range(random.randint(1, 30))) for i in range(20_000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for step in (9, 10):
+        pattern, new = PLAIN[step]
+        text = F.col("text")
+        both = rows.select("text", wikitext.STEPS[step](text).alias("got"), F.regexp_replace(text, pattern, new).alias("want"))
+        assert both.filter("got <> want").collect() == [], step
+        assert both.filter("got <> text").count() > 500, step
+
+
+@pytest.mark.parametrize("end", LINE_ENDS)
+def test_link_steps_are_linear_over_lines(spark, end):
+    """100 KB of each mark, alone, with an end of line at the end and behind each mark."""
+    pieces = ["[[a (b) ", "[[a|b ", "[[a (b)] ", "[[a|b] ", "[[", "[[(", "[[|", "(a)", "[[a (b "]
+    texts = [text for p in pieces for text in (p * (100_000 // len(p)) + end, (p + end) * (100_000 // len(p + end)))]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(1).cache()
+    for step in (wikitext.drop_link_parenthesis, wikitext.keep_link_label):
+        start = time.perf_counter()
+        rows.select(step(F.col("text")).alias("t")).write.format("noop").mode("overwrite").save()
+        assert time.perf_counter() - start < 3  # for 18 pages
+
+
+def test_many_labels_are_one_walk(spark):
+    """20,000 labels that are closed, in and out of order, and as many that are closed before."""
+    n = 20_000
+    opened, closed = "".join(f"<t{i}>x" for i in range(n)), "".join(f"</t{i}>y" for i in range(n))
+    pages = [("".join(f"<t{i}>x</t{i}>y" for i in range(n)), "y" * n), (opened + closed, "y" * n), (closed + opened, "y" * n + "x" * n), ("<x>" + "</a" * 33_000 + ">", "")]
+    for page, want in pages:
+        rows = spark.createDataFrame([(page,)], "t string").select(wikitext.strip_tags(F.col("t")))
+        rows.first()  # the plan is made and compiled
+        start = time.perf_counter()
+        found = rows.first()[0]
+        took = time.perf_counter() - start
+        assert found == want
+        assert took < 4
+
+
 JUNK = ["=", "a=", "[[a|b ", "[[a (b) ", "[[a ", "[[a:b ", "{{Date|", "&lt;ref&gt;", "[[a ([b ", "[[a]] ([b ", "== a", "[[(", "[[|", "<b>", "<a", "</a"]
 
 

@@ -42,6 +42,18 @@ FROM (SELECT *, (doc_id * 13 + 5) % (doc_id - doc_id % 30 + 30) AS t FROM {docum
 MIXED = {"ns": "CASE WHEN doc_id % 5 = 4 THEN 1 ELSE 0 END", "missing": "doc_id % 50 = 23"}
 PLAIN = {"ns": "0", "missing": "FALSE"}
 
+# One record of a dump per document, of which some are not well-formed, name no namespace by number,
+# or do not end before the next one starts.
+RECORDS_SQL = """
+SELECT '<page><title>Doc ' || CAST(doc_id AS STRING) || '</title><ns>'
+    || CASE WHEN doc_id % 7 = 4 THEN 'zero' ELSE '0' END
+    || '</ns><revision><text xml:space="preserve">'
+    || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')
+    || CASE WHEN doc_id % 7 = 2 THEN '</revision>' WHEN doc_id % 7 = 5 THEN '</text>' ELSE '</text></revision>' END AS record,
+  doc_id % 7 <> 5 AS ends, doc_id % 7 IN (2, 4, 5) AS broken
+FROM {documents}
+"""
+
 # A property graph over all documents, where each tenth edge or so names no known vertex.
 PROPERTY_VERTICES_SQL = """
 SELECT doc_id AS id, 'Doc ' || CAST(doc_id AS STRING) AS name, lang AS role FROM {documents}
@@ -157,6 +169,14 @@ def write_dump(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
     return path
 
 
+def write_broken_dump(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
+    """Write a dump with broken records among the pages; returns its path."""
+    records = spark.sql(RECORDS_SQL, documents=_documents(spark, sf_dir)).filter("record is not null")
+    path = scratch.file("broken.xml")
+    records.select(F.concat("record", F.when(F.col("ends"), F.lit("</page>")).otherwise(F.lit("")))).write.text(path)
+    return path
+
+
 def write_lines(spark: SparkSession, sf_dir: str, scratch: Scratch) -> str:
     """Write all turns of all conversations as a line file; returns its path."""
     path = scratch.file("lines.txt")

@@ -5,7 +5,7 @@ Each takes and returns DataFrames; nothing is kept between calls.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.operators import corpus, embedding, pages as page_ops, rank
@@ -13,7 +13,7 @@ from marginalia.operators.components import community_count, connected_component
 from marginalia.operators.graph import Graph, build_graph
 from marginalia.scratch import Scratch
 from marginalia.sources import store
-from marginalia.sources.dump import scan_dump
+from marginalia.sources.dump import pages_of, rejects_of, scan_dump, scan_dump_records
 
 
 def read_pages(spark: SparkSession, path: str, tag_mode: str = "default") -> DataFrame:
@@ -28,12 +28,26 @@ def import_dump(
     tag_mode: str = "default",
 ) -> tuple[DataFrame, Graph]:
     """Import a dump into ``folder``: parse and clean it once, then build the graph from the
-    written pages."""
-    pages = store.save_pages(read_pages(spark, path, tag_mode), folder)
+    written pages.
+
+    Records that are no pages are counted in the same pass. Only if there are any, the dump is read
+    again to save them beside the pages; ``load_rejects`` gives them in either case.
+    """
+    seen = Observation()
+    rejected = F.count("reject").alias("rejected")
+    articles = page_ops.articles(pages_of(scan_dump_records(spark, path).observe(seen, rejected)))
+    pages = store.save_pages(page_ops.with_links_and_clean_text(articles, tag_mode), folder)
+    rejects = rejects_of(scan_dump_records(spark, path))
+    store.save_rejects(rejects if seen.get["rejected"] else rejects.limit(0), folder)
     graph = build_graph(page_ops.link_edges(pages), Scratch(spark))
     return pages, store.save_graph(graph, folder)
 
 
+def load_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """``(record)``: what ``import_dump`` could not parse."""
+    return store.load_rejects(spark, folder)
+
+
 def load(spark: SparkSession, folder: str) -> tuple[DataFrame, Graph]:
     """What ``import_dump`` has saved."""
     return store.load_pages(spark, folder), store.load_graph(spark, folder)

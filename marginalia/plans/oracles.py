@@ -212,6 +212,8 @@ EDGE_LABELS = "SELECT src AS src_label, dst AS dst_label, CAST(1 AS BIGINT) AS w
 ORACLES: dict[str, str] = {
     # pages
     "dump_scan": f"WITH {WP} SELECT title, ns, text FROM wp",
+    "dump_rejects": f"""WITH records AS ({inputs.RECORDS_SQL.format(documents="documents")})
+  SELECT record, (SELECT count(*) FROM records WHERE NOT broken) AS pages FROM records WHERE broken""",
     "articles": f"WITH {WP}, {ART} SELECT * FROM art",
     "import_pages": f"{READ_PAGES} SELECT * FROM pg",
     "import_dump": f"""{READ}, {VERTICES} SELECT (SELECT count(*) FROM links) AS edges,

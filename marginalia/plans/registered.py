@@ -46,6 +46,15 @@ def dump_scan(spark, sf_dir):
     return scan_dump(spark, inputs.write_dump(spark, sf_dir, Scratch(spark)))
 
 
+@query
+def dump_rejects(spark, sf_dir):
+    """The records that an import of a dump with broken ones saves beside its pages, and their number."""
+    scratch = Scratch(spark)
+    folder = scratch.file("import")
+    found, _ = mining.import_dump(spark, inputs.write_broken_dump(spark, sf_dir, scratch), folder)
+    return mining.load_rejects(spark, folder).withColumn("pages", pages.page_count(found).scalar())
+
+
 @query
 def articles(spark, sf_dir):
     return inputs.articles(spark, sf_dir, inputs.MIXED)

@@ -12,6 +12,7 @@ from marginalia.operators.graph import Graph
 PAGES = "pages"
 VERTICES = "graph_vertices"
 EDGES = "graph_edges"
+REJECTS = "rejects"
 
 PAGES_SCHEMA = "title string, text string, edges array<struct<src:string,dst:string>>"
 VERTICES_SCHEMA = "id bigint, label string"
@@ -37,6 +38,16 @@ def load_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(PAGES_SCHEMA).parquet(f"{folder}/{PAGES}")
 
 
+def save_rejects(rejects: DataFrame, folder: str) -> DataFrame:
+    """Write the ``(record)`` rows that an import could not parse."""
+    rejects.select("record").write.mode("overwrite").parquet(f"{folder}/{REJECTS}")
+    return load_rejects(rejects.sparkSession, folder)
+
+
+def load_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema("record string").parquet(f"{folder}/{REJECTS}")
+
+
 def save_graph(graph: Graph, folder: str) -> Graph:
     graph.vertices.select("id", "label").write.mode("overwrite").parquet(f"{folder}/{VERTICES}")
     graph.edges.select("src", "dst", "weight").write.mode("overwrite").parquet(f"{folder}/{EDGES}")

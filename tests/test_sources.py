@@ -38,6 +38,38 @@ def test_scan(spark, dump_file):
     assert found.exceptAll(other).isEmpty() and other.exceptAll(found).isEmpty()
 
 
+BROKEN = """<mediawiki>
+<page><title>A</title><ns>0</ns><revision><text xml:space="preserve">a &lt;ref&gt; x</text></revision></page>
+<page><title>B</title><ns>zero</ns><revision><text>b</text></revision></page>
+<page><title>C</title><ns>0</ns><revision><text>c</revision></page>
+<page><title>D</title><ns>0</ns><revision><text>d</text>
+<page><title>E</title><ns>0</ns><revision><text>e [[A]]</text></revision></page>
+<page><title>F &bad;</title><ns>0</ns><revision><text/></revision></page>
+<page><title>G</title><ns>1</ns></page>
+<page><title>H</title><ns>0</ns><revision><text>cut off"""
+
+
+def test_broken_records_are_told_from_pages(spark, tmp_path):
+    path = tmp_path / "broken.xml"
+    path.write_text(BROKEN)
+    records = dump.scan_dump_records(spark, str(path))
+    assert sorted((r.title, r.text) for r in dump.pages_of(records).collect()) == [("A", "a <ref> x"), ("E", "e [[A]]"), ("G", None)]
+    rejects = sorted(r.record for r in dump.rejects_of(records).collect())
+    assert [r[13:14] for r in rejects] == ["B", "C", "D", "F", "H"]
+    assert rejects[2] == "<page><title>D</title><ns>0</ns><revision><text>d</text>"
+    assert plan(records).count("from_xml") == 1
+    folder = str(tmp_path / "saved")
+    pages, _ = mining.import_dump(spark, str(path), folder)
+    assert sorted(r.title for r in pages.collect()) == ["A", "E"]
+    assert sorted(r.record for r in mining.load_rejects(spark, folder).collect()) == rejects
+
+
+def test_a_whole_dump_has_no_rejects(spark, dump_file, tmp_path):
+    assert dump.rejects_of(dump.scan_dump_records(spark, dump_file)).isEmpty()
+    mining.import_dump(spark, dump_file, str(tmp_path / "saved"))
+    assert mining.load_rejects(spark, str(tmp_path / "saved")).isEmpty()
+
+
 def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
     body = "".join(
         f"<page><title>T{i}</title><ns>0</ns><revision><text>{'mot ' * 50}[[T{i + 1}]]\n</text></revision></page>\n"

@@ -5,7 +5,7 @@ Regular expressions here know no look-around and no back-references.
 
 from __future__ import annotations
 
-from marginalia.operators.rank import ROUNDS_PER_WRITE, SORT_DIGITS, TOLERANCE, TOP
+from marginalia.operators.rank import SORT_DIGITS, TOP
 from marginalia.plans import inputs
 from marginalia.plans.registered import DIGITS, NEAREST
 
@@ -89,7 +89,9 @@ line_corpus AS (
 
 VERTICES = "verts AS (SELECT DISTINCT unnest([src, dst]) AS v FROM links)"
 
-# Each vertex has one row to itself of weight 0; the rounds stop where the engine's do.
+# Each vertex has one row to itself of weight 0. The rounds go on to the fixed point, so close that
+# the digits compared no longer depend on where they stop.
+RANKS_STAND_STILL = 1e-14
 RANKS = f"""pairs AS (SELECT src, dst, count(*) AS n FROM links GROUP BY src, dst),
 weights AS (
   SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS w, false AS keeper FROM pairs
@@ -100,7 +102,7 @@ rounds(it, v, rank, delta) AS (
   SELECT it + 1, dst, 0.15 + 0.85 * sum(rank * w),
          abs(0.15 + 0.85 * sum(rank * w) - max(CASE WHEN keeper THEN rank END))
   FROM rounds JOIN weights ON v = src
-  WHERE it = 0 OR it % {ROUNDS_PER_WRITE} <> 0 OR (SELECT max(delta) FROM rounds) > {TOLERANCE}
+  WHERE it < 1000 AND (SELECT max(delta) FROM rounds) > {RANKS_STAND_STILL}
   GROUP BY it, dst),
 ranks AS (SELECT v AS label, rank FROM rounds WHERE it = (SELECT max(it) FROM rounds)),
 best AS (SELECT label, rank FROM ranks ORDER BY round(rank, {SORT_DIGITS}) DESC, label LIMIT {TOP})"""

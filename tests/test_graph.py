@@ -1,6 +1,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,65 @@ def test_page_rank_with_a_hub(plain, scratch):
     assert found == pytest.approx(power_rounds(pairs, 6))
 
 
+def fixed_point(edges):
+    """The ranks by solving the linear system."""
+    ids = sorted({v for e in edges for v in e})
+    at = {v: i for i, v in enumerate(ids)}
+    counts = np.zeros((len(ids), len(ids)))
+    for s, d in edges:
+        counts[at[s], at[d]] += 1
+    out = counts.sum(axis=1, keepdims=True)
+    shares = np.divide(counts, out, out=np.zeros_like(counts), where=out > 0)
+    return dict(zip(ids, np.linalg.solve(np.eye(len(ids)) - 0.85 * shares.T, np.full(len(ids), 0.15)), strict=True))
+
+
+def rank_graphs():
+    dice = random.Random(9)
+    yield [(dice.randrange(200), dice.randrange(200)) for _ in range(900)]
+    yield [(i, i - i % 10 + (i * 7 + 1) % 10) for i in range(300)] + [(i, 0) for i in range(0, 300, 3)] + [(5, i) for i in range(300)] * 2
+    yield [(i, i + 1) for i in range(30)] + [(i, i) for i in range(5)] + [(-(2**40) * i, 2**41 * (i % 7)) for i in range(1, 40)]
+
+
+@pytest.mark.parametrize("edges", list(rank_graphs()))
+@pytest.mark.parametrize("block_edges, tol", [(1_000_000, 1e-10), (60, 1e-3)])
+def test_residual_ranks_are_as_close_as_told(plain, scratch, edges, block_edges, tol):
+    """Also in many small blocks and with hub sources; the bound holds at a coarse tolerance too."""
+    frame = plain.createDataFrame(edges, "src bigint, dst bigint")
+    found = {r.id: r.rank for r in rank.page_rank(frame, scratch, tol=tol, block_edges=block_edges).collect()}
+    want = fixed_point(edges)
+    assert found.keys() == want.keys()
+    assert all(abs(found[v] - want[v]) <= tol * want[v] + 1e-13 for v in want)
+
+
+def test_hub_edges_are_in_no_block(plain, scratch):
+    edges = plain.createDataFrame([(5, d) for d in range(60)] + [(s, (s * 7) % 60) for s in range(60)], "src bigint, dst bigint")
+    layouts, hub_edges, cuts, hubs = rank._laid_out(edges, scratch, 10)
+    assert hubs == [5] and hub_edges.count() == 60 and not set(cuts[0]) & set(cuts[1])
+    for packed in layouts:
+        rows = packed.collect()
+        assert len(rows) > 5 and sum(len(r.share) for r in rows) == 8 * 59 and sum(len(r.ids) for r in rows) == 8 * 60
+
+
+def test_settling_keeps_what_is_handed_on():
+    src, dst, share = np.array([0, 0, 1, 2]), np.array([1, 3, 2, 0]), np.array([0.5, 0.5, 1.0, 1.0])
+    held = np.full(3, 0.15)
+    handed, sent = rank.settle(3, src, dst, share, held, 1e-15, 0.85)
+    want = fixed_point([(0, 1), (0, 3), (1, 2), (2, 0)])
+    assert handed == pytest.approx([want[v] for v in range(3)]) and sent == pytest.approx([want[3] - 0.15])
+    assert held.max() <= 1e-15
+
+
+def test_least_weights():
+    vectors = np.random.default_rng(1).standard_normal((4, 50))
+    weights = np.array(rank.least_weights(vectors @ vectors.T))
+    assert weights.sum() == pytest.approx(1)
+    for other in np.eye(4):
+        assert np.linalg.norm(weights @ vectors) <= np.linalg.norm(other @ vectors) + 1e-12
+    same = np.ones((3, 50))
+    assert np.isfinite(rank.least_weights(same @ same.T)).all()
+    assert rank.least_weights(np.zeros((3, 3)))[-1] == 1
+
+
 def test_page_rank_needs_an_end(graph, scratch):
     with pytest.raises(ValueError):
         rank.page_rank(graph.edges, scratch, tol=None)
@@ -232,6 +292,21 @@ def test_edges_are_not_shuffled_in_a_round(plain, scratch, graph, monkeypatch):
     assert "Exchange" not in text[join:scan] and "Sort " not in text[join:scan]
 
 
+def test_blocks_are_not_shuffled_in_a_round(plain, scratch, graph, monkeypatch):
+    plans = []
+    keep = type(scratch).keep
+
+    def noted(self, df, name):
+        plans.append((name, plan(df)))
+        return keep(self, df, name)
+
+    monkeypatch.setattr(type(scratch), "keep", noted)
+    rank.page_rank(graph.edges, scratch, max_iter=2)
+    text = dict(plans)["mail"]
+    join = text.index("SortMergeJoin")
+    assert "Exchange" not in text[join : text.index("InMemoryTableScan", join)] and text.count("Exchange hash") == 1
+
+
 def test_results_of_one_scratch_stay_readable(spark, links):
     """Later graphs, ranks and components leave earlier ones alone; closing deletes them all."""
     with Scratch(spark) as scratch:

@@ -5,10 +5,13 @@ A vector table is ``(word string, vector array<double>)`` with one row per word.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from marginalia.functions.tokens import trim_controls
 from marginalia.functions.vectors import cosine, distance, opposite
 from marginalia.operators.corpus import MIN_COUNT
-from marginalia.operators.skew import look_up
+from marginalia.operators.skew import look_up, shuffle_width
 
 PARTITIONS = 32
 NEAREST = 20
@@ -33,6 +36,12 @@ BLOCK_QUERIES = 2_048
 SLICE_WORDS = 20_000
 TILE = 1 << 21
 
+# Vectors that a task multiplies documents with at a time, and counts it multiplies at once.
+BLOCK_BYTES = 64 << 20
+MULTIPLIED = 20_000
+# Tokens whose documents are counted together.
+COUNTED_TOKENS = 2_000_000
+
 MATCH_SCHEMA = "query_id bigint, word string, similarity double"
 NO_MATCHES = pd.DataFrame(
     {"query_id": pd.Series(dtype="int64"), "word": pd.Series(dtype="object"), "similarity": pd.Series(dtype="float64")}
@@ -209,24 +218,121 @@ def word_query(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
     return similar_words(query_vectors(query_terms(queries), vectors), vectors, n)
 
 
+def _count_words(blocks: int, slices: int) -> Callable:
+    """From ``(doc_id, tokens)`` the counts of a batch's words by block of words, a row each: the ids
+    of its documents, its different words, and which document has which word how often. The row of
+    the first block, which is always there, has the documents' lengths too."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of rows with about so many tokens, one row at least."""
+        for batch in batches:
+            ends = np.cumsum(np.nan_to_num(batch.column("tokens").value_lengths().to_numpy(zero_copy_only=False)))
+            first = 0
+            while first < batch.num_rows:
+                before = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + COUNTED_TOKENS, "right")))
+                yield batch.slice(first, last - first)
+                first = last
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = 0
+        for batch in cut(batches):
+            sizes = np.nan_to_num(batch.column("tokens").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            docs = np.repeat(np.arange(len(sizes)), sizes)
+            found = batch.column("tokens").flatten().dictionary_encode()
+            at = found.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            words = np.array(found.dictionary.to_pylist(), object)
+            pairs, counts = np.unique(docs[at >= 0] * len(words) + at[at >= 0], return_counts=True)
+            docs, at = np.divmod(pairs, max(1, len(words)))
+            block_of = np.array([zlib.crc32(w.encode()) % blocks for w in words], np.int64)
+            rows = []
+            for block in range(blocks):
+                own = np.flatnonzero(block_of[at] == block)
+                if not block or len(own):
+                    used, place = np.unique(at[own], return_inverse=True)
+                    lengths = np.maximum(sizes, 1).tolist() if not block else None
+                    rows.append((block, number % slices, 1, words[used].tolist(), docs[own].astype("<i4").tobytes(), place.astype("<i4").tobytes(), counts[own].astype("<f8").tobytes(), lengths))
+            number += 1
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())), strict=True)]
+            ids = pa.array([batch.column("doc_id").to_pylist()] * len(rows), pa.list_(batch.schema.field("doc_id").type))
+            yield pa.record_batch([*columns, ids], ["block", "slice", "kind", "words", "docs", "at", "counts", "lengths", "ids"])
+
+    return run
+
+
+def _pack_vectors(blocks: int) -> Callable:
+    """A batch's words and their vectors by block of words, a row each."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = np.array(batch.column("word").to_pylist(), object)
+            vectors = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(words), -1)
+            block_of = np.array([zlib.crc32(w.encode()) % blocks for w in words], np.int64)
+            used = np.unique(block_of).tolist()
+            own = [np.flatnonzero(block_of == b) for b in used]
+            columns = [pa.array(used, pa.int32()), pa.array([words[o].tolist() for o in own], pa.list_(pa.string())), pa.array([vectors[o].tobytes() for o in own], pa.binary())]
+            yield pa.record_batch(columns, ["block", "words", "matrix"])
+
+    return run
+
+
+def _multiply(dimension: int) -> Callable:
+    """Counts times vectors, where a block's vectors come before its counts: partial sums by document."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, places, rows, matrix = None, {}, [], None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if (row["block"], row["slice"]) != key:
+                    key, places, rows, matrix = (row["block"], row["slice"]), {}, [], None
+                if not row["kind"]:
+                    places.update(zip(row["words"], range(len(places), len(places) + len(row["words"]))))
+                    rows.append(np.frombuffer(row["matrix"], np.float64).reshape(-1, dimension))
+                    continue
+                if matrix is None:
+                    matrix, rows = np.vstack([*rows, np.zeros((1, dimension))]), None  # unknown words are null
+                docs, at, counts = (np.frombuffer(row[c], k) for c, k in (("docs", "<i4"), ("at", "<i4"), ("counts", "<f8")))
+                place = np.array([places.get(w, -1) for w in row["words"]], np.int64)
+                sums = np.zeros((len(row["ids"]), dimension))
+                for first in range(0, len(docs), MULTIPLIED):  # sorted by document
+                    d, part = docs[first : first + MULTIPLIED], slice(first, first + MULTIPLIED)
+                    new = np.flatnonzero(np.diff(d, prepend=-1))
+                    sums[d[new]] += np.add.reduceat(matrix[place[at[part]]] * counts[part][:, None], new, axis=0)
+                lengths = row["lengths"] or [0] * len(sums)
+                ids = pa.array(row["ids"], batch.schema.field("ids").type.value_type)
+                yield pa.record_batch([ids, pa.array(list(sums), pa.list_(pa.float64())), pa.array(lengths, pa.int64())], ["doc_id", "sums", "n"])
+
+    return run
+
+
 def document_vectors(documents: DataFrame, vectors: DataFrame) -> DataFrame:
     """``(doc_id, vector)`` from ``documents(doc_id, tokens)``: the mean over all tokens, where
-    an unknown one counts as the null vector.
+    an unknown one counts as the null vector. Rows of one id count as one document.
 
-    The tokens are counted per document and then meet their vectors, frequent words split.
-    Documents without words do not take part in that join.
+    A product of a sparse matrix, the words counted by document, with a dense one, in blocks of words:
+    counts and vectors meet by block, and every slice of the documents gets the vectors once. A task
+    holds one block of vectors and streams the counts past it. The documents are read once; pass
+    written vectors, which are counted while the plan is made.
     """
-    dimension = vectors.agg(F.max(F.size("vector"))).first()[0] or 0
-    tokens = documents.select("doc_id", F.explode("tokens").alias("word")).filter(F.col("word").isNotNull())
-    counts = tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n"))
-    frequent = tokens.groupBy("word").agg(F.count("*").alias("n"))
-    found = look_up(counts, vectors, "word", counts=frequent)
-    # One sum per place: sums of numbers aggregate by hash, sums of whole vectors by sorting.
-    sums = [F.sum(F.get("vector", F.lit(i)) * F.col("n")).alias(f"s{i}") for i in range(dimension)]
-    known = found.groupBy("doc_id").agg(*sums, F.count("*").alias("_known"))
-    sizes = documents.groupBy("doc_id").agg(F.sum(F.greatest(F.coalesce(F.size("tokens"), F.lit(0)), F.lit(1))).alias("n"))
-    means = [F.coalesce(f"s{i}", F.lit(0.0)) / F.col("n") for i in range(dimension)]
-    return sizes.join(known, "doc_id", "left").select("doc_id", F.array(*means).cast("array<double>").alias("vector"))
+    known = vectors.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dimension")).first()
+    dimension, slices = known["dimension"] or 0, shuffle_width(documents)
+    if not dimension:
+        return documents.select("doc_id").distinct().withColumn("vector", F.array().cast("array<double>"))
+    blocks = max(1, ceil(known["n"] * dimension * 8 / BLOCK_BYTES))
+    key = documents.schema["doc_id"].dataType.simpleString()
+    counted = documents.select("doc_id", "tokens").mapInArrow(
+        _count_words(blocks, slices),
+        f"block int, slice int, kind int, words array<string>, docs binary, at binary, counts binary, lengths array<bigint>, ids array<{key}>",
+    )
+    full = vectors.filter(F.size("vector") == dimension).select("word", F.col("vector").cast("array<double>").alias("vector"))
+    packed = full.mapInArrow(_pack_vectors(blocks), "block int, words array<string>, matrix binary")
+    given = packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.lit(0).alias("kind"))
+    both = counted.unionByName(given, allowMissingColumns=True)
+    both = both.repartition(2 * slices, "block", "slice").sortWithinPartitions("block", "slice", "kind")  # a number: work, not size, counts
+    partial = both.mapInArrow(_multiply(dimension), f"doc_id {key}, sums array<double>, n bigint")
+    total = vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")
+    summed = partial.groupBy("doc_id").agg(total, F.sum("n").alias("n"))
+    return summed.select("doc_id", F.transform("sums", lambda v: v / F.col("n")).alias("vector"))
 
 
 def nearest_euclid(words: DataFrame, vectors: DataFrame, target: str, n: int = NEAREST) -> DataFrame:

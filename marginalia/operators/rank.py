@@ -34,7 +34,7 @@ TOP = 10
 
 # Equal ranks may differ in their last bits by the order of summation. Sorting on fewer digits
 # leaves such ties to the label.
-SORT_DIGITS = 9
+SORT_DIGITS = 7
 ROUNDS_PER_WRITE = 5
 
 # So many rounds make a new state of theirs, and run without a write in between unless there are hubs.
@@ -42,7 +42,6 @@ ROUNDS = 10
 
 # A block has about so many edges, 24 bytes each while its task works on it.
 BLOCK_EDGES = 1_000_000
-BLOCKS_PER_TASK = 1
 
 BLOCK = "block int, ids binary, src binary, dst binary, share binary, far binary, far_block binary"
 # A letter holds amounts for vertices of a block; with states it brings what they held back, their
@@ -301,13 +300,14 @@ def _laid_out(edges: DataFrame, scratch: Scratch, block_edges: int) -> tuple[lis
     pairs = scratch.keep(edges.groupBy("src", "dst").agg(F.count("*").alias("n")), "pairs")
     out = pairs.groupBy("src").agg(F.sum("n").alias("out_degree"), F.count("*").alias("rows"))
     # A hub has more edges than a block should hold; there are fewer hubs than blocks.
-    hot = hot_keys(out, "src", "rows", max(1, ceil(pairs.count() / block_edges)))
+    full = ceil(pairs.count() / block_edges)
+    hot = hot_keys(out, "src", "rows", full) if full > 1 else None
     hubs = sorted(r["src"] for r in hot.collect()) if hot else []
     weighted = pairs.join(out.select("src", "out_degree"), "src").select("src", "dst", (F.col("n") / F.col("out_degree")).alias("share"))
     keepers = edge_ends(pairs, "src").distinct().select("src", F.col("src").alias("dst"), F.lit(0.0).alias("share"))
     rows = scratch.keep(weighted.unionByName(keepers), "rank_edges")
     inner = rows.filter(~F.col("src").isin(hubs) | (F.col("share") == 0)) if hubs else rows
-    blocks = max(BLOCKS_PER_TASK * width, ceil(inner.count() / block_edges))
+    blocks = max(width, full)
     shares = [i / (2 * blocks) for i in range(1, 2 * blocks)]
     found = inner.agg(F.percentile_approx("src", shares, max(10_000, 20 * blocks)).alias("cuts")).first()["cuts"] or []
     cuts = [sorted(set(found[1::2])), sorted(set(found[::2]))]

@@ -64,6 +64,7 @@ SELECT doc_id AS src,
   source AS attr
 FROM {documents}
 """
+# The attributes of a vertex that only edges name.
 DEFAULT_VERTEX = {"name": "DEFAULT_USER", "role": "MISSING"}
 
 # All words of a benchmark item make one word-arithmetic query.
@@ -143,14 +144,15 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vectors_of_words(spark: SparkSession, sf_dir: str, vocabulary: DataFrame, scratch: Scratch) -> DataFrame:
+    """A vector table over the words of ``vocabulary(word)``."""
+    known = spark.sql(WORD_VECTORS_SQL, vocabulary=vocabulary, embeddings=table(spark, sf_dir, "embeddings"))
+    return scratch.keep(known, "word_vectors")
+
+
 def word_vectors(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFrame:
     """A vector table over the words of the pages."""
-    known = spark.sql(
-        WORD_VECTORS_SQL,
-        vocabulary=vocabulary_counts(corpus(spark, sf_dir)),
-        embeddings=table(spark, sf_dir, "embeddings"),
-    )
-    return scratch.keep(known, "word_vectors")
+    return vectors_of_words(spark, sf_dir, vocabulary_counts(corpus(spark, sf_dir)), scratch)
 
 
 def word_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ Regular expressions here know no look-around and no back-references.
 
 from __future__ import annotations
 
-from marginalia.operators.rank import SORT_DIGITS, TOP
+from marginalia.operators.embedding import SORT_DIGITS
+from marginalia.operators.rank import SORT_DIGITS as RANK_DIGITS, TOP
 from marginalia.plans import inputs
 from marginalia.plans.registered import DIGITS, NEAREST
 
@@ -13,6 +14,7 @@ WP = "wp AS (" + inputs.wikitext_sql(inputs.PLAIN).format(documents="documents")
 MIXED_WP = "wp AS (" + inputs.wikitext_sql(inputs.MIXED).format(documents="documents") + ")"
 ART = "art AS (SELECT title, text FROM wp WHERE ns = 0 AND text IS NOT NULL)"
 
+# The cleaning patterns, in this dialect.
 TEMPLATE = r"\{\{[^{}]*\}\}"
 
 
@@ -105,7 +107,7 @@ rounds(it, v, rank, delta) AS (
   WHERE it < 1000 AND (SELECT max(delta) FROM rounds) > {RANKS_STAND_STILL}
   GROUP BY it, dst),
 ranks AS (SELECT v AS label, rank FROM rounds WHERE it = (SELECT max(it) FROM rounds)),
-best AS (SELECT label, rank FROM ranks ORDER BY round(rank, {SORT_DIGITS}) DESC, label LIMIT {TOP})"""
+best AS (SELECT label, rank FROM ranks ORDER BY round(rank, {RANK_DIGITS}) DESC, label LIMIT {TOP})"""
 
 
 def _neighbours(order: str) -> str:
@@ -116,7 +118,7 @@ def _neighbours(order: str) -> str:
 near AS (
   SELECT * FROM (
     SELECT top_label, neighbour, rank, row_number() OVER (
-      PARTITION BY top_label ORDER BY round(rank, {SORT_DIGITS}) {order}, neighbour) AS place
+      PARTITION BY top_label ORDER BY round(rank, {RANK_DIGITS}) {order}, neighbour) AS place
     FROM around JOIN ranks ON label = neighbour) x
   WHERE place <= {TOP}),
 ids AS (SELECT DISTINCT unnest([top_label, neighbour]) AS label FROM near)"""
@@ -231,7 +233,9 @@ ORACLES: dict[str, str] = {
   FROM (SELECT DISTINCT src, dst FROM links) d GROUP BY src) o ON title = src""",
     "load_session": f"""{READ}, {VERTICES} SELECT (SELECT count(*) FROM links) AS edges,
   (SELECT count(*) FROM verts) AS vertices, (SELECT count(*) FROM art) AS pages""",
-    "lines_nearest": "SELECT 'the' AS word, CAST(0 AS DOUBLE) AS distance",
+    "lines_nearest": f"""WITH {LINES}, words AS (SELECT DISTINCT unnest(tokens) AS word FROM line_corpus)
+  SELECT CAST(place AS INTEGER) AS place, true AS known, true AS rises, true AS recomputed, place = 1 AS target
+  FROM (SELECT unnest(range(1, least({NEAREST}, (SELECT count(*) FROM words)) + 1)) AS place) p""",
     # cleaning
     **{
         f"clean_t{i}": f"WITH {WP}, {ART} SELECT title, {step('text')} AS text FROM art"

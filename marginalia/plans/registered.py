@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marginalia.functions import links, vectors, wikitext
@@ -292,7 +292,7 @@ def _top_neighbours(neighbour_order: str, spark: SparkSession, sf_dir: str) -> D
     top = rank.top_ranked(ranked)
     found = rank.top_neighbours(built.edges, ranked, top, neighbour_order=neighbour_order)
     names = top.select("id", F.col("label").alias("top_label"))
-    return found.join(F.broadcast(names), "id").select(
+    return found.join(names, "id").select(
         "top_label", "place", F.col("label").alias("neighbour"), _rounded("rank")
     )
 
@@ -305,7 +305,7 @@ QUERIES["top_neighbours_desc"] = partial(_top_neighbours, "desc")
 def top_rank_ids(spark, sf_dir):
     built, ranks = _ranked(spark, sf_dir)
     ids = rank.top_rank_ids(built, ranks)
-    return built.vertices.join(F.broadcast(ids), "id", "left_semi").select("label")
+    return built.vertices.join(ids, "id", "left_semi").select("label")
 
 
 @query
@@ -404,8 +404,10 @@ def word_query(spark, sf_dir):
 
 @query
 def nearest_euclid(spark, sf_dir):
-    known = inputs.word_vectors(spark, sf_dir, Scratch(spark))
-    found = embedding.nearest_euclid(corpus.corpus_words(inputs.corpus(spark, sf_dir)), known, "doc")
+    scratch = Scratch(spark)
+    tokens = scratch.keep(inputs.corpus(spark, sf_dir), "corpus")  # read for the vectors and for the words
+    known = inputs.vectors_of_words(spark, sf_dir, corpus.vocabulary_counts(tokens), scratch)
+    found = embedding.nearest_euclid(corpus.corpus_words(tokens), known, "doc")
     return found.select("word", _rounded("distance"))
 
 
@@ -439,9 +441,27 @@ def word2vec_lines(spark, sf_dir):
 
 @query
 def lines_nearest(spark, sf_dir):
-    """The example of the line file: train, then look for the words nearest to one. A trained word
-    is nearest to itself; the others differ from run to run."""
+    """The example of the line file: train, then look for the words nearest to one.
+
+    The words differ from run to run. So what is compared is that each place holds a word of the
+    file, that distances rise from the target's own, and that they are those of the saved vectors.
+    """
     scratch = Scratch(spark)
     lines = scan_lines(spark, inputs.write_lines(spark, sf_dir, scratch), tasks=64)
-    found = mining.nearest_in_lines(lines, "the", scratch.file("vectors"), n=1, seed=7)
-    return found.select("word", _rounded("distance"))
+    folder = scratch.file("vectors")
+    found = scratch.keep(mining.nearest_in_lines(lines, "the", folder, seed=7), "nearest")
+    known = store.load_vectors(spark, folder)
+    aim = known.filter("word = 'the'").select("vector").scalar()
+    size = F.coalesce(F.size("vector"), F.size(aim))
+    own = F.coalesce("vector", F.array_repeat(F.lit(0.0), size))
+    words = corpus.corpus_words(corpus.line_tokens(lines)).select("word", F.lit(True).alias("known"))
+    again = F.sqrt(F.aggregate(F.zip_with(own, aim, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    order = Window.orderBy("distance", "word")  # over a report of a few words
+    checked = found.join(known, "word", "left").join(words, "word", "left").select(
+        F.row_number().over(order).alias("place"),
+        F.coalesce("known", F.lit(False)).alias("known"),
+        (F.col("distance") >= F.coalesce(F.lag("distance").over(order), F.lit(0.0))).alias("rises"),
+        (F.abs(F.col("distance") - again) < 1e-9).alias("recomputed"),
+        (F.col("word") == "the").alias("target"),
+    )
+    return checked

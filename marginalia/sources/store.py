@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marginalia.operators.graph import Graph
+from marginalia.scratch import Scratch
 
 PAGES = "pages"
 VERTICES = "graph_vertices"
@@ -62,9 +63,15 @@ def load_graph(spark: SparkSession, folder: str) -> Graph:
 
 
 def export_json(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """One JSON object per row. A single file means a single task, so only small results
-    should ask for it."""
-    (df.coalesce(1) if single_file else df).write.mode("overwrite").json(path)
+    """One JSON object per row. For a single file all tasks write their parts first, and one task then
+    only copies their lines, in order, whatever ``df`` takes to work out."""
+    if not single_file:
+        df.write.mode("overwrite").json(path)
+        return
+    with Scratch(df.sparkSession) as scratch:
+        parts = scratch.file("parts")
+        df.write.json(parts)
+        df.sparkSession.read.text(parts).coalesce(1).write.mode("overwrite").text(path)
 
 
 def save_vectors(vectors: DataFrame, folder: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import bz2
+import gzip
 import os
 
 import pytest
@@ -8,7 +9,7 @@ from conftest import plan
 from marginalia.operators import pages as page_ops
 from marginalia.plans import mining
 from marginalia.scratch import Scratch, shared_folder
-from marginalia.sources import dump, store
+from marginalia.sources import dump, lines, store
 
 DUMP = """<mediawiki xmlns="http://www.mediawiki.org/xml/export-0.10/" version="0.10" xml:lang="fr">
   <siteinfo><sitename>Test</sitename></siteinfo>
@@ -155,3 +156,44 @@ def test_scratch_folder():
         shared_folder(Session("yarn"))
     with pytest.raises(ValueError):
         shared_folder(Session("local[2]"))
+
+
+def test_line_files_are_split_by_bytes(spark, tmp_path):
+    """64 tasks on one plain file without a shuffle; a compressed one is dealt out."""
+    want = [f"line {i}" for i in range(20_000)]
+    (tmp_path / "lines.txt").write_text("\n".join(want) + "\n")
+    (tmp_path / "lines.txt.bz2").write_bytes(bz2.compress("\n".join(want[:50]).encode()))
+    (tmp_path / "lines.txt.gz").write_bytes(gzip.compress("\n".join(want).encode()))
+    found = lines.scan_lines(spark, str(tmp_path / "lines.txt"), tasks=64)
+    assert "Exchange" not in plan(found) and 60 <= found.rdd.getNumPartitions() <= 66
+    assert sorted(r.value for r in found.collect()) == sorted(want)
+    assert found.join(spark.createDataFrame([("line 7",)], "value string"), "value").count() == 1
+    assert found.select(F.spark_partition_id()).distinct().count() > 55
+    packed = lines.scan_lines(spark, str(tmp_path / "lines.txt.gz"), tasks=64)
+    assert "Exchange" in plan(packed) and packed.count() == 20_000
+    assert not [t for t in spark.catalog.listTables("global_temp") if t.name.startswith("lines_")]
+
+
+def test_a_single_file_is_only_copied_by_one_task(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 1000, 1, 8).select("id", F.concat(F.lit("é\u2028\n"), "id").alias("text"), F.spark_partition_id().alias("task"))
+    store.export_json(rows, str(tmp_path / "one.json"), single_file=True)
+    files = [f for f in os.listdir(tmp_path / "one.json") if f.startswith("part-")]
+    assert len(files) == 1
+    back = spark.read.schema("id long, text string, task int").json(str(tmp_path / "one.json"))
+    assert back.exceptAll(rows).isEmpty() and back.count() == 1000
+    assert back.select("task").distinct().count() == 8  # the rows were worked out by eight tasks
+
+
+@pytest.mark.parametrize("scheme", ["file://", "viewfs://pages"])
+def test_paths_are_uris(spark, dump_file, tmp_path, scheme):
+    """Reading, saving, loading and exporting go by Hadoop URIs of any scheme."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("fs.viewfs.mounttable.pages.link./tmp", f"file://{tmp_path}")
+    hadoop.set("fs.viewfs.mounttable.pages.link./dump", f"file://{os.path.dirname(dump_file)}")
+    here, there = (f"file://{os.path.dirname(dump_file)}", f"file://{tmp_path}") if scheme == "file://" else (f"{scheme}/dump", f"{scheme}/tmp")
+    pages, _ = mining.import_dump(spark, f"{here}/dump.xml", f"{there}/saved")
+    assert [r.title for r in pages.collect()] == ["Lyon"]
+    loaded, graph = mining.load(spark, f"{there}/saved")
+    mining.export_pages(loaded, f"{there}/export", single_file=True)
+    assert spark.read.schema(store.PAGES_SCHEMA).json(f"{there}/export/pages.json").count() == 1
+    assert graph.edges.count() == 5 and lines.scan_lines(spark, f"{here}/dump.xml", tasks=3).count() > 5

@@ -74,6 +74,30 @@ def test_distance_and_documents(spark, table):
     assert found[3] == pytest.approx([2 / 3, 1.0])
 
 
+@pytest.mark.parametrize("dimension, block_bytes", [(300, 64 << 20), (300, 5_000), (3, 10)])
+def test_document_vectors_equal_plain_sums(spark, monkeypatch, dimension, block_bytes):
+    """In one block of words or in many; repeated and null ids, null tokens, unknown words."""
+    monkeypatch.setattr(e, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(e, "MULTIPLIED", 7)
+    monkeypatch.setattr(e, "COUNTED_TOKENS", 100)
+    dice = np.random.default_rng(5)
+    known = {f"w{i}": dice.normal(size=dimension) for i in range(40)}
+    texts = [[f"w{i}" for i in dice.integers(0, 55, dice.integers(0, 30))] for _ in range(60)]
+    rows = [*enumerate(texts), (7, texts[3]), (None, ["w1", None, "w2"]), (None, ["w1"]), (100, None), (101, [])]
+    table = spark.createDataFrame([(w, v.tolist()) for w, v in known.items()], "word string, vector array<double>").repartition(3)
+    documents = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>").repartition(4)
+    sums, sizes = {}, {}
+    for doc, tokens in rows:
+        sums[doc] = sums.get(doc, 0) + sum((known[w] for w in tokens or [] if w in known), np.zeros(dimension))
+        sizes[doc] = sizes.get(doc, 0) + max(1, len(tokens or []))
+    found = {r.doc_id: r.vector for r in e.document_vectors(documents, table).collect()}
+    assert found.keys() == sums.keys()
+    assert all(found[d] == pytest.approx(sums[d] / sizes[d], abs=1e-12) for d in sums)
+    nothing = e.document_vectors(documents, table.limit(0)).collect()
+    assert len(nothing) == len(sums) and all(r.vector == [] for r in nothing)
+    assert e.document_vectors(documents.limit(0), table).count() == 0
+
+
 @pytest.fixture(scope="module")
 def many(spark):
     """Random vectors where each comes twice, so that many similarities are equal."""

@@ -419,6 +419,11 @@ def document_vectors(spark, sf_dir):
     return values.select("doc_id", "place", _rounded("value"))
 
 
+def _tasks(spark: SparkSession) -> int:
+    """As many parts of the corpus are trained on as the session shuffles into."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query
 def vocabulary(spark, sf_dir):
     tokens = Scratch(spark).keep(inputs.corpus(spark, sf_dir), "corpus")
@@ -429,7 +434,7 @@ def vocabulary(spark, sf_dir):
 def word2vec_vocab(spark, sf_dir):
     scratch = Scratch(spark)
     saved = store.save_pages(inputs.pages(spark, sf_dir), scratch.file("saved"))
-    known = mining.embed(saved, 50, 3, 2, folder=scratch.file("vectors"))
+    known = mining.embed(saved, 50, 3, 2, folder=scratch.file("vectors"), partitions=_tasks(spark))
     return known.select("word", F.size("vector").alias("dimension"))
 
 
@@ -452,16 +457,15 @@ def lines_nearest(spark, sf_dir):
     found = scratch.keep(mining.nearest_in_lines(lines, "the", folder, seed=7), "nearest")
     known = store.load_vectors(spark, folder)
     aim = known.filter("word = 'the'").select("vector").scalar()
-    size = F.coalesce(F.size("vector"), F.size(aim))
-    own = F.coalesce("vector", F.array_repeat(F.lit(0.0), size))
     words = corpus.corpus_words(corpus.line_tokens(lines)).select("word", F.lit(True).alias("known"))
-    again = F.sqrt(F.aggregate(F.zip_with(own, aim, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    placed = found.join(known, "word", "left").join(words, "word", "left").withColumn("aim", aim)
+    own = F.coalesce("vector", F.array_repeat(F.lit(0.0), F.size("aim")))
+    again = F.sqrt(F.aggregate(F.zip_with(own, "aim", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
     order = Window.orderBy("distance", "word")  # over a report of a few words
-    checked = found.join(known, "word", "left").join(words, "word", "left").select(
+    return placed.select(
         F.row_number().over(order).alias("place"),
         F.coalesce("known", F.lit(False)).alias("known"),
         (F.col("distance") >= F.coalesce(F.lag("distance").over(order), F.lit(0.0))).alias("rises"),
         (F.abs(F.col("distance") - again) < 1e-9).alias("recomputed"),
         (F.col("word") == "the").alias("target"),
     )
-    return checked

@@ -5,6 +5,8 @@ Paths are Hadoop URIs: ``hdfs://…``, ``s3a://…`` or local.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marginalia.operators.graph import Graph
@@ -39,6 +41,39 @@ def load_pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(PAGES_SCHEMA).parquet(f"{folder}/{PAGES}")
 
 
+def save_pages_by_title(pages: DataFrame, folder: str, buckets: int) -> DataFrame:
+    """Write the pages in buckets by title, sorted in each, and go on from the table.
+
+    A lookup of many titles then shuffles the titles alone (``pages.find_pages``). Take at least as
+    many buckets as the session shuffles into, or Spark prefers to shuffle. The buckets are known to a
+    table of the session's catalog, one per folder, which ``load_pages_by_title`` makes again in a
+    later session. Pages of one title share a bucket, and so do those without a title.
+    """
+    spark = pages.sparkSession
+    path, name = _by_title(folder)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    dealt = pages.select("title", "text", "edges").repartition(buckets, "title")
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, "title").sortBy("title").saveAsTable(name)
+    spark.range(1).selectExpr(f"{buckets} AS buckets").write.mode("overwrite").json(f"{path}_layout")
+    return spark.table(name)
+
+
+def load_pages_by_title(spark: SparkSession, folder: str) -> DataFrame:
+    path, name = _by_title(folder)
+    buckets = spark.read.schema("buckets int").json(f"{path}_layout").first()["buckets"]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # of files that may have been written again since
+    spark.sql(
+        f"CREATE TABLE {name} ({PAGES_SCHEMA}) USING parquet "
+        f"CLUSTERED BY (title) SORTED BY (title) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
+def _by_title(folder: str) -> tuple[str, str]:
+    path = f"{folder.rstrip('/')}/{PAGES}_by_title"
+    return path, f"{PAGES}_{md5(path.encode()).hexdigest()}"
+
+
 def save_rejects(rejects: DataFrame, folder: str) -> DataFrame:
     """Write the ``(record)`` rows that an import could not parse."""
     rejects.select("record").write.mode("overwrite").parquet(f"{folder}/{REJECTS}")

@@ -197,3 +197,17 @@ def test_paths_are_uris(spark, dump_file, tmp_path, scheme):
     mining.export_pages(loaded, f"{there}/export", single_file=True)
     assert spark.read.schema(store.PAGES_SCHEMA).json(f"{there}/export/pages.json").count() == 1
     assert graph.edges.count() == 5 and lines.scan_lines(spark, f"{here}/dump.xml", tasks=3).count() > 5
+
+
+def test_many_titles_are_looked_up_without_shuffling_pages(plain, tmp_path):
+    pages = plain.range(500).selectExpr("concat('Doc ', id) AS title", "repeat('mot ', 20) AS text", "array(struct(concat('Doc ', id) AS src, 'Lyon' AS dst)) AS edges")
+    titles = plain.range(0, 800, 7).selectExpr("concat('Doc ', id) AS title").union(plain.createDataFrame([(None,), ("Doc 7",)], "title string"))
+    saved = store.save_pages_by_title(pages, str(tmp_path), 8)
+    for table in (saved, store.load_pages_by_title(plain, str(tmp_path))):
+        found = page_ops.find_pages(table, titles)
+        assert {r.title for r in found.collect()} == {f"Doc {i}" for i in range(0, 500, 7)} and found.count() == 72
+        text = plan(page_ops.find_pages(table, titles))
+        join = text.index("SortMergeJoin")
+        assert "Exchange" not in text[join : text.index("FileScan", join)] and text.count("Exchange") == 1
+    again = store.save_pages_by_title(pages.limit(10), str(tmp_path), 16)
+    assert again.count() == 10 == store.load_pages_by_title(plain, str(tmp_path)).count()

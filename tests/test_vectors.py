@@ -155,3 +155,18 @@ def test_training(spark):
     found = e.vector_table(model).collect()
     assert {r.word for r in found} == {"a", "b", "c"} == {r.word for r in e.vocabulary(model).collect()}
     assert all(len(r.vector) == 6 for r in found)
+
+
+def test_words_of_one_topic_are_near_each_other(spark):
+    """Trained vectors say something: of two topics that never meet, each word's nearest are its own."""
+    dice = np.random.default_rng(2)
+    topics = [[f"{t}{i}" for i in range(8)] for t in "ab"]
+    rows = [([str(w) for w in dice.choice(topics[i % 2], 12)],) for i in range(600)]
+    model = e.train_word_vectors(spark.createDataFrame(rows, "tokens array<string>").repartition(1), 12, 4, 12, partitions=1, seed=3)
+    known = e.vector_table(model).cache()
+    asked = spark.createDataFrame([(0, "a0"), (1, "b3"), (2, "a1 + a2"), (3, "b1 + b2 + b0")], "query_id bigint, expr string")
+    found = e.word_query(asked, known, 6).collect()
+    assert len(found) == 24
+    assert all(r.word[0] == "abab"[r.query_id] for r in found)
+    assert all(math.isfinite(x) for r in known.collect() for x in r.vector)
+    known.unpersist()

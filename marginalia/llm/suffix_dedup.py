@@ -240,7 +240,7 @@ def _transform(length: int):
         text = np.frombuffer(b"\0".join(b.replace(b"\0", b"\xc0") for b in bodies) + b"\0", np.uint8)  # \xc0 is never part of UTF-8
         sizes = np.array([len(b) + 1 for b in bodies], np.int64)
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(text)) - 1
-        order = suffix_order(text, left, length)
+        order = suffix_order(text, left, int(sizes.max()))  # whole strings: ties would lead the way back astray
         before = np.r_[np.uint8(0), text[:-1]][order]  # the end mark of the string before stands for none
         return pd.DataFrame(
             {

@@ -72,6 +72,22 @@ def test_repeats_equal_brute_force(docs, scratch, monkeypatch, crowd):
     assert {r[0]: r for r in got} == want and all(r == want[r[0]] for r in got)
 
 
+def test_repeats_of_passages_longer_than_the_first_bytes_sorted(spark, scratch):
+    """Passages of 100 to 260 bytes in ever other surroundings: pieces share more than 128 bytes and then part."""
+    random.seed(7)
+    passages = ["".join(random.choices("abcdefgh \n\0é", k=random.randint(100, 260))) for _ in range(4)]
+    texts = []
+    for doc in range(60):
+        text = ""
+        for _ in range(random.randint(0, 8)):
+            of = random.choice(passages)
+            text += of[random.randrange(40) : len(of) - random.randrange(40)] + "".join(random.choices("abcdefgh", k=random.randint(0, 3)))
+        texts.append((doc, text))
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r) for r in suffix_dedup.repeats_removed(docs, scratch).collect()}
+    assert got == repeats_by_hand(texts)
+
+
 def test_repeats_of_nothing_and_texts(docs, nothing, scratch):
     assert suffix_dedup.repeats_removed(nothing, scratch).count() == 0
     left = suffix_dedup.without_repeats(docs, scratch)

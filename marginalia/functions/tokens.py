@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SENTENCE_END = r"\."
-WORD_BREAK = "[ ']"
 CONTROLS = "".join(map(chr, range(ord(" ") + 1)))
 
 
@@ -21,8 +20,11 @@ def sentence_texts(text: Column) -> Column:
 
 def sentence_words(sentence: Column) -> Column:
     """Lower-cased words of a sentence; a blank sentence gives an empty array."""
-    words = F.split(trim_controls(sentence), WORD_BREAK)
-    return F.transform(F.filter(words, lambda w: F.length(w) > 0), F.lower)
+    body = F.replace(trim_controls(sentence), F.lit("'"), F.lit(" "))
+    whole = F.split(F.lower(body), " ")
+    # A capital sigma is the one letter whose lower case depends on those around it.
+    each = F.transform(F.split(body, " "), F.lower)
+    return F.array_remove(F.when(body.contains("Σ"), each).otherwise(whole), "")
 
 
 def line_words(line: Column) -> Column:

@@ -50,6 +50,12 @@ _LABEL = rf"[^\]]{TO_LAST_LINE}{OTHER % '|'}\|"
 LINEAR_LINK_LABEL = rf"(\[\[){_LABEL}(.+?\]\])|(\[\[{_LABEL}.*\])|(\[\[[^\]]*+)"
 
 
+def _from(mark: str, pattern: str) -> str:
+    """The pattern, tried only where the mark stands that all its alternatives begin with: at any other
+    place one look fails, not each alternative in turn."""
+    return rf"(?={mark})(?:{pattern})"
+
+
 def _let(name: str, value: str, body: str) -> str:
     """The body with the value worked out once, however often it is named in it."""
     return f"transform(array({value}), {name} -> {body})[0]"
@@ -215,11 +221,11 @@ def _where(text: Column, mark: str, step: Callable[[Column], Column], rounds: in
 
 def drop_move_info(text: Column) -> Column:
     """``[[Lyon]] foo ([move])`` becomes ``[[Lyon]]``."""
-    return _where(text, "([", lambda t: F.regexp_replace(t, LINEAR_MOVE_INFO, "$1$2"))
+    return _where(text, "([", lambda t: F.regexp_replace(t, _from(r"\[\[", LINEAR_MOVE_INFO), "$1$2"))
 
 
 def drop_headers(text: Column) -> Column:
-    return F.regexp_replace(text, LINEAR_HEADER, "$1")
+    return F.regexp_replace(text, _from("=", LINEAR_HEADER), "$1")
 
 
 def drop_quotes(text: Column) -> Column:
@@ -248,19 +254,19 @@ def drop_escaped_refs(text: Column) -> Column:
 
 
 def drop_link_parenthesis(text: Column) -> Column:
-    return F.regexp_replace(text, LINEAR_LINK_PARENTHESIS, "$1$2$3$4")
+    return F.regexp_replace(text, _from(r"\[\[", LINEAR_LINK_PARENTHESIS), "$1$2$3$4")
 
 
 def keep_link_label(text: Column) -> Column:
-    return F.regexp_replace(text, LINEAR_LINK_LABEL, "$1$2$3$4")
+    return F.regexp_replace(text, _from(r"\[\[", LINEAR_LINK_LABEL), "$1$2$3$4")
 
 
 def drop_namespaced_links(text: Column) -> Column:
-    return F.regexp_replace(text, LINEAR_NAMESPACED_LINK, "$1")
+    return F.regexp_replace(text, _from(r"\[\[", LINEAR_NAMESPACED_LINK), "$1")
 
 
 def unwrap_links(text: Column) -> Column:
-    return F.regexp_replace(text, LINEAR_LINK, "$1$2")
+    return F.regexp_replace(text, _from(r"\[\[", LINEAR_LINK), "$1$2")
 
 
 def blank_punctuation(text: Column) -> Column:

@@ -22,7 +22,10 @@ def line_tokens(lines: DataFrame) -> DataFrame:
 
 
 def words(corpus: DataFrame) -> DataFrame:
-    return corpus.select(F.explode("tokens").alias("word"))
+    """``(word)`` per token. Before a plain ``explode`` Spark would look for rows without tokens, and
+    for that split every sentence once more."""
+    placed = corpus.select(F.posexplode_outer("tokens").alias("place", "word"))
+    return placed.filter("place is not null").select("word")
 
 
 def corpus_words(corpus: DataFrame) -> DataFrame:

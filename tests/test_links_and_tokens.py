@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+from conftest import plan
+from marginalia.functions import wikitext
 from marginalia.functions.links import page_links
 from marginalia.functions.tokens import line_words
 from marginalia.operators import corpus, pages
@@ -84,3 +86,18 @@ def test_vocabulary(spark):
     tokens = spark.createDataFrame([(["a"] * 5 + ["b"] * 4,)], "tokens array<string>")
     assert [tuple(r) for r in corpus.vocabulary_counts(tokens).collect()] == [("a", 5)]
     assert {r.word for r in corpus.corpus_words(tokens).collect()} == {"a", "b"}
+
+
+def test_words_split_each_sentence_once(spark):
+    """Counting words looks at no sentence twice, and drops only rows without tokens."""
+    pages = spark.createDataFrame([("Ab c'D. .\t. ΟΔΟΣ'ΣΑΣ Σ. İé",), (None,), ("",)], "text string")
+    found = corpus.words(corpus.sentences(pages))
+    assert sorted(r.word for r in found.collect()) == sorted(["ab", "c", "d", "οδος", "σας", "σ", "i\u0307é"])
+    assert "size(" not in plan(found)
+    odd = spark.createDataFrame([(["a", None],), ([],), (None,)], "tokens array<string>")
+    assert sorted((r.word for r in corpus.words(odd).collect()), key=str) == [None, "a"]
+
+
+def test_patterns_are_tried_only_at_their_mark():
+    steps = (wikitext.drop_headers, wikitext.drop_link_parenthesis, wikitext.keep_link_label, wikitext.drop_namespaced_links, wikitext.unwrap_links)
+    assert all("(?=" in str(step(F.col("t"))) for step in steps)

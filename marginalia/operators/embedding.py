@@ -342,9 +342,11 @@ def nearest_euclid(words: DataFrame, vectors: DataFrame, target: str, n: int = N
     """
     zeros = _zeros(vectors)
     aim = vectors.filter(F.col("word") == F.lit(target)).select("vector").scalar()
-    placed = (
-        words.join(vectors, "word", "left")
-        .select("word", F.coalesce("vector", zeros).alias("vector"), F.coalesce(aim, zeros).alias("_target"))
-        .select("word", distance(F.col("vector"), F.col("_target")).alias("distance"))
+    # Worked out where the vectors are, so that distances go through the join and not vectors.
+    aimed = vectors.withColumn("_target", F.coalesce(aim, zeros))
+    away = aimed.withColumn("_own", F.coalesce("vector", zeros)).select("word", distance(F.col("_own"), F.col("_target")).alias("_away"), F.lit(True).alias("_known"))
+    origin = aimed.limit(1).withColumn("_origin", zeros).select(distance(F.col("_origin"), F.col("_target"))).scalar()
+    placed = words.join(away, "word", "left").select(
+        "word", F.when(F.col("_known"), F.col("_away")).otherwise(origin).alias("distance")
     )
     return placed.orderBy(F.round("distance", SORT_DIGITS), "word").limit(n)

@@ -98,6 +98,17 @@ def test_document_vectors_equal_plain_sums(spark, monkeypatch, dimension, block_
     assert e.document_vectors(documents.limit(0), table).count() == 0
 
 
+def test_distances_go_through_the_join_and_not_vectors(plain, table):
+    words = plain.createDataFrame([(w,) for w in "abcdz"], "word string")
+    odd = table.union(plain.createDataFrame([("z", None)], table.schema))
+    found = e.nearest_euclid(words, odd, "a")
+    assert [(r.word, round(r.distance, 6)) for r in found.collect()] == [("a", 0.0), ("c", 1.0), ("z", 1.0), ("b", 1.414214), ("d", 2.0)]
+    steps = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    steps = [s for s in steps if not s.lstrip().startswith(":")]  # without subqueries
+    above = steps[: next(i for i, s in enumerate(steps) if "Join LeftOuter" in s)]
+    assert above and not any("zip_with" in s or "vector#" in s for s in above)
+
+
 @pytest.fixture(scope="module")
 def many(spark):
     """Random vectors where each comes twice, so that many similarities are equal."""

@@ -12,6 +12,7 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -22,6 +23,7 @@ from marginalia.functions.tokens import trim_controls
 from marginalia.functions.vectors import cosine, distance, opposite
 from marginalia.operators.corpus import MIN_COUNT
 from marginalia.operators.skew import look_up, shuffle_width
+from marginalia.scratch import Scratch
 
 PARTITIONS = 32
 NEAREST = 20
@@ -39,8 +41,9 @@ TILE = 1 << 21
 # Vectors that a task multiplies documents with at a time, and counts it multiplies at once.
 BLOCK_BYTES = 64 << 20
 MULTIPLIED = 20_000
-# Tokens whose documents are counted together.
+# Tokens whose documents are counted together, and tokens that meet their vectors in one task.
 COUNTED_TOKENS = 2_000_000
+MET_TOKENS = 4_000_000
 
 MATCH_SCHEMA = "query_id bigint, word string, similarity double"
 NO_MATCHES = pd.DataFrame(
@@ -218,26 +221,48 @@ def word_query(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
     return similar_words(query_vectors(query_terms(queries), vectors), vectors, n)
 
 
-def _count_words(blocks: int, slices: int) -> Callable:
-    """From ``(doc_id, tokens)`` the counts of a batch's words by block of words, a row each: the ids
-    of its documents, its different words, and which document has which word how often. The row of
+def _packed(numbers: np.ndarray) -> bytes:
+    raw = numbers.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), kind)
+
+
+def _count_words(blocks: int) -> Callable:
+    """From ``(doc_id, tokens)`` the counts of a slice of documents by block of words, a row each: the
+    ids of its documents, its different words, and which document has which word how often. The row of
     the first block, which is always there, has the documents' lengths too."""
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Runs of rows with about so many tokens, one row at least."""
+    def lengths_of(batch: pa.RecordBatch) -> np.ndarray:
+        return np.nan_to_num(batch.column("tokens").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+        """Runs of rows with about so many tokens, one row at least; small batches are put together."""
+        held, total = [], 0
         for batch in batches:
-            ends = np.cumsum(np.nan_to_num(batch.column("tokens").value_lengths().to_numpy(zero_copy_only=False)))
+            ends = np.cumsum(lengths_of(batch))
             first = 0
             while first < batch.num_rows:
-                before = ends[first - 1] if first else 0
-                last = max(first + 1, int(np.searchsorted(ends, before + COUNTED_TOKENS, "right")))
-                yield batch.slice(first, last - first)
+                before = int(ends[first - 1]) if first else 0
+                last = int(np.searchsorted(ends, before + COUNTED_TOKENS - total, "right"))
+                if last == first and held:  # no room for the next row
+                    yield pa.Table.from_batches(held)
+                    held, total = [], 0
+                    continue
+                last = max(first + 1, last)
+                held.append(batch.slice(first, last - first))
+                total += int(ends[last - 1]) - before
                 first = last
+        if held:
+            yield pa.Table.from_batches(held)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = 0
-        for batch in cut(batches):
-            sizes = np.nan_to_num(batch.column("tokens").value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(cut(batches)):
+            batch = batch.combine_chunks().to_batches()[0]
+            sizes = lengths_of(batch)
             docs = np.repeat(np.arange(len(sizes)), sizes)
             found = batch.column("tokens").flatten().dictionary_encode()
             at = found.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -251,53 +276,61 @@ def _count_words(blocks: int, slices: int) -> Callable:
                 if not block or len(own):
                     used, place = np.unique(at[own], return_inverse=True)
                     lengths = np.maximum(sizes, 1).tolist() if not block else None
-                    rows.append((block, number % slices, 1, words[used].tolist(), docs[own].astype("<i4").tobytes(), place.astype("<i4").tobytes(), counts[own].astype("<f8").tobytes(), lengths))
-            number += 1
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())), strict=True)]
+                    rows.append((block, (task << 32) | number, 1, words[used].tolist(), _packed(np.diff(docs[own], prepend=0).astype("<i4")), _packed(place.astype("<i4")), _packed(counts[own].astype("<i4")), lengths))
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())), strict=True)]
             ids = pa.array([batch.column("doc_id").to_pylist()] * len(rows), pa.list_(batch.schema.field("doc_id").type))
             yield pa.record_batch([*columns, ids], ["block", "slice", "kind", "words", "docs", "at", "counts", "lengths", "ids"])
 
     return run
 
 
-def _pack_vectors(blocks: int) -> Callable:
-    """A batch's words and their vectors by block of words, a row each."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = np.array(batch.column("word").to_pylist(), object)
-            vectors = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(words), -1)
-            block_of = np.array([zlib.crc32(w.encode()) % blocks for w in words], np.int64)
-            used = np.unique(block_of).tolist()
-            own = [np.flatnonzero(block_of == b) for b in used]
-            columns = [pa.array(used, pa.int32()), pa.array([words[o].tolist() for o in own], pa.list_(pa.string())), pa.array([vectors[o].tobytes() for o in own], pa.binary())]
-            yield pa.record_batch(columns, ["block", "words", "matrix"])
-
-    return run
+def _pack_vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A batch's words and their vectors by slice and block, a row each, in halves where nothing is lost."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        words = np.array(batch.column("word").to_pylist(), object)
+        vectors = batch.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(len(words), -1)
+        with np.errstate(over="ignore"):
+            halves = vectors.astype(np.float32)
+        if np.array_equal(halves, vectors):
+            vectors = halves
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("block", "slice")], axis=1)
+        used, of = np.unique(keys, axis=0, return_inverse=True)
+        order = np.argsort(of.ravel(), kind="stable")
+        own = np.split(order, np.cumsum(np.bincount(of.ravel()))[:-1])
+        columns = [
+            pa.array(used[:, 0], pa.int32()), pa.array(used[:, 1], pa.int64()), pa.array(np.zeros(len(used)), pa.int32()),
+            pa.array([words[o].tolist() for o in own], pa.list_(pa.string())), pa.array([_packed(vectors[o]) for o in own], pa.binary()),
+            pa.array([vectors.itemsize] * len(used), pa.int32()),
+        ]
+        yield pa.record_batch(columns, ["block", "slice", "kind", "words", "matrix", "width"])
 
 
 def _multiply(dimension: int) -> Callable:
-    """Counts times vectors, where a block's vectors come before its counts: partial sums by document."""
+    """Counts times vectors, where a slice's vectors come before its counts: partial sums by document."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, places, rows, matrix = None, {}, [], None
+        key, places, rows, matrix, placed = None, {}, [], None, 0
         for batch in batches:
             for row in batch.to_pylist():
                 if (row["block"], row["slice"]) != key:
-                    key, places, rows, matrix = (row["block"], row["slice"]), {}, [], None
+                    key, places, rows, matrix, placed = (row["block"], row["slice"]), {}, [], None, 0
                 if not row["kind"]:
-                    places.update(zip(row["words"], range(len(places), len(places) + len(row["words"]))))
-                    rows.append(np.frombuffer(row["matrix"], np.float64).reshape(-1, dimension))
+                    places.update(zip(row["words"], range(placed, placed + len(row["words"]))))  # a word may come twice
+                    placed += len(row["words"])
+                    rows.append(_unpacked(row["matrix"], f"<f{row['width']}").reshape(-1, dimension))
                     continue
                 if matrix is None:
                     matrix, rows = np.vstack([*rows, np.zeros((1, dimension))]), None  # unknown words are null
-                docs, at, counts = (np.frombuffer(row[c], k) for c, k in (("docs", "<i4"), ("at", "<i4"), ("counts", "<f8")))
+                docs, at, counts = (_unpacked(row[c], "<i4") for c in ("docs", "at", "counts"))
+                docs = np.cumsum(docs, dtype=np.int64)
                 place = np.array([places.get(w, -1) for w in row["words"]], np.int64)
                 sums = np.zeros((len(row["ids"]), dimension))
                 for first in range(0, len(docs), MULTIPLIED):  # sorted by document
                     d, part = docs[first : first + MULTIPLIED], slice(first, first + MULTIPLIED)
                     new = np.flatnonzero(np.diff(d, prepend=-1))
-                    sums[d[new]] += np.add.reduceat(matrix[place[at[part]]] * counts[part][:, None], new, axis=0)
+                    sums[d[new]] += np.add.reduceat(matrix[place[at[part]]] * counts[part][:, None].astype(np.float64), new, axis=0)
                 lengths = row["lengths"] or [0] * len(sums)
                 ids = pa.array(row["ids"], batch.schema.field("ids").type.value_type)
                 yield pa.record_batch([ids, pa.array(list(sums), pa.list_(pa.float64())), pa.array(lengths, pa.int64())], ["doc_id", "sums", "n"])
@@ -309,26 +342,32 @@ def document_vectors(documents: DataFrame, vectors: DataFrame) -> DataFrame:
     """``(doc_id, vector)`` from ``documents(doc_id, tokens)``: the mean over all tokens, where
     an unknown one counts as the null vector. Rows of one id count as one document.
 
-    A product of a sparse matrix, the words counted by document, with a dense one, in blocks of words:
-    counts and vectors meet by block, and every slice of the documents gets the vectors once. A task
-    holds one block of vectors and streams the counts past it. The documents are read once; pass
-    written vectors, which are counted while the plan is made.
+    A product of a sparse matrix, the words counted by document, with a dense one. The counts are written.
+    A slice of them, about ``MET_TOKENS``, gets the vectors of its own words and of no others, in blocks
+    where they might be too many for a task, which holds one slice's block. So what is shuffled grows
+    with the documents, not with the number of tasks times the vocabulary. The documents are read once;
+    pass written vectors, which are counted while the plan is made.
     """
     known = vectors.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dimension")).first()
-    dimension, slices = known["dimension"] or 0, shuffle_width(documents)
+    dimension = known["dimension"] or 0
     if not dimension:
         return documents.select("doc_id").distinct().withColumn("vector", F.array().cast("array<double>"))
-    blocks = max(1, ceil(known["n"] * dimension * 8 / BLOCK_BYTES))
+    # A slice has fewer different words than tokens; as a rule far fewer than an eighth.
+    blocks = max(1, ceil(min(known["n"], MET_TOKENS / 8) * dimension * 8 / BLOCK_BYTES))
     key = documents.schema["doc_id"].dataType.simpleString()
     counted = documents.select("doc_id", "tokens").mapInArrow(
-        _count_words(blocks, slices),
-        f"block int, slice int, kind int, words array<string>, docs binary, at binary, counts binary, lengths array<bigint>, ids array<{key}>",
+        _count_words(blocks),
+        f"block int, slice bigint, kind int, words array<string>, docs binary, at binary, counts binary, lengths array<bigint>, ids array<{key}>",
     )
+    # Written, as the words that slices ask for and the counts have to be of the same slices.
+    counted = Scratch(documents.sparkSession).keep(counted, "counted")
     full = vectors.filter(F.size("vector") == dimension).select("word", F.col("vector").cast("array<double>").alias("vector"))
-    packed = full.mapInArrow(_pack_vectors(blocks), "block int, words array<string>, matrix binary")
-    given = packed.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.lit(0).alias("kind"))
+    tokens = counted.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda s, x: s + x))).first()[0] or 0
+    counted = counted.withColumn("slice", F.pmod(F.xxhash64("slice"), F.lit(max(1, ceil(tokens / MET_TOKENS)))).cast("bigint"))
+    given = counted.select("block", "slice", F.explode("words").alias("word")).distinct().join(full, "word")
+    given = given.select("block", "slice", "word", "vector").mapInArrow(_pack_vectors, "block int, slice bigint, kind int, words array<string>, matrix binary, width int")
     both = counted.unionByName(given, allowMissingColumns=True)
-    both = both.repartition(2 * slices, "block", "slice").sortWithinPartitions("block", "slice", "kind")  # a number: work, not size, counts
+    both = both.repartition(2 * shuffle_width(documents), "slice", "block").sortWithinPartitions("slice", "block", "kind")  # a number: work, not size, counts
     partial = both.mapInArrow(_multiply(dimension), f"doc_id {key}, sums array<double>, n bigint")
     total = vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")
     summed = partial.groupBy("doc_id").agg(total, F.sum("n").alias("n"))

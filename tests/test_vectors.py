@@ -98,6 +98,19 @@ def test_document_vectors_equal_plain_sums(spark, monkeypatch, dimension, block_
     assert e.document_vectors(documents.limit(0), table).count() == 0
 
 
+def test_document_vectors_where_a_word_comes_twice(spark, monkeypatch):
+    """Repeated rows of a word count once, however they reach a task; vectors are not copied for every slice."""
+    monkeypatch.setattr(e, "MET_TOKENS", 20)
+    known = {f"w{i}": [float(i), 1.0 / (i + 3)] for i in range(30)}
+    table = spark.createDataFrame([*known.items()] * 2, "word string, vector array<double>").repartition(5)
+    rows = [(i, [f"w{j % 33}" for j in range(i, 3 * i)]) for i in range(1, 15)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>").repartition(4)
+    made = e.document_vectors(documents, table)
+    found = {r.doc_id: r.vector for r in made.collect()}
+    assert all(found[d] == pytest.approx(sum((np.array(known.get(w, [0, 0])) for w in tokens)) / len(tokens)) for d, tokens in rows)
+    assert "explode([0" not in plan(made)
+
+
 def test_distances_go_through_the_join_and_not_vectors(plain, table):
     words = plain.createDataFrame([(w,) for w in "abcdz"], "word string")
     odd = table.union(plain.createDataFrame([("z", None)], table.schema))

@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +22,7 @@ from marginalia.functions.tokens import trim_controls
 from marginalia.functions.vectors import cosine, distance, opposite
 from marginalia.operators.corpus import MIN_COUNT
 from marginalia.operators.skew import look_up, shuffle_width
+from marginalia.operators.training import train
 from marginalia.scratch import Scratch
 
 PARTITIONS = 32
@@ -59,29 +59,19 @@ def train_word_vectors(
     partitions: int = PARTITIONS,
     min_count: int = MIN_COUNT,
     seed: int = 1,
-) -> Word2VecModel:
-    """Train on ``corpus(tokens)``. Sentences of more than 1,000 words are trained in pieces of that
-    length, as the trainer does by default. Every task holds the whole model, and the trainer refuses
-    one of more than 2^31 numbers: raise ``min_count`` for a corpus with that many words."""
-    trainer = Word2Vec(
-        inputCol="tokens",
-        outputCol="vector",
-        vectorSize=dimension,
-        windowSize=window,
-        maxIter=iterations,
-        numPartitions=partitions,
-        minCount=min_count,
-        seed=seed,
-    )
-    return trainer.fit(corpus)
+) -> DataFrame:
+    """Train on ``corpus(tokens)`` and return the vector table as written. Sentences of more than 1,000 words
+    are trained in pieces of that length, as Spark's own trainer does by default; unlike there, neither the
+    driver nor a task holds the whole model (see ``training``), so the vocabulary may have any size."""
+    return train(corpus, dimension, window, iterations, partitions, min_count, seed, Scratch(corpus.sparkSession))
 
 
-def vector_table(model: Word2VecModel) -> DataFrame:
-    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+def vector_table(model: DataFrame) -> DataFrame:
+    return model.select("word", "vector")
 
 
-def vocabulary(model: Word2VecModel) -> DataFrame:
-    return model.getVectors().select("word")
+def vocabulary(model: DataFrame) -> DataFrame:
+    return model.select("word")
 
 
 def _zeros(vectors: DataFrame) -> Column:

@@ -33,11 +33,14 @@ MAX_EXPONENT = 6
 # Tokens of a piece, of which slices are made; tokens and bytes of vectors of a slice; bytes of a bucket.
 PIECE_TOKENS = 25_000
 SLICE_TOKENS = 16_000_000
-MODEL_BYTES = 128 << 20
+MODEL_BYTES = 256 << 20
 BUCKET_BYTES = 32 << 20
 SENT_BYTES = 4 << 20  # sent on at a time
 ROUNDS_PER_WRITE = 4
 
+# Between rounds vectors travel as halves, which is half the disk; what comes of the last round as full floats.
+BETWEEN = "<f2"
+
 # Tokens trained at a time. A row that more of their pairs change goes no further than so many steps.
 BATCH, BATCH_STEPS = 128, 128
 
@@ -292,7 +295,7 @@ def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _round(dimension: int, window: int, number: int, rounds: int, buckets: int, seed: int) -> Callable:
-    """From slices' rows, each followed by its vectors (by none in the first round), the trained vectors by
+    """From slices' rows and their vectors (none in the first round) the trained vectors by
     bucket; in the last round those of words alone."""
 
     def trained(row: dict, keys: np.ndarray, matrix: np.ndarray) -> Iterator[tuple]:
@@ -302,23 +305,26 @@ def _round(dimension: int, window: int, number: int, rounds: int, buckets: int,
         of = _bucket_of(keys[sent], buckets)
         order = np.argsort(of, kind="stable")
         for own in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-            yield row["slice"], int(of[own[0]]), keys[sent[own]].tobytes(), matrix[sent[own]].tobytes()
+            yield row["slice"], int(of[own[0]]), keys[sent[own]].tobytes(), matrix[sent[own]].astype(kind).tobytes()
+
+    kind = "<f4" if number == rounds - 1 else BETWEEN
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slice_row, keys, matrix = None, None, None
+        rows, vectors = {}, defaultdict(list)  # of one slice, as they are dealt
         for batch in batches:
-            vectors = batch.column("matrix")
+            matrices = batch.column("matrix")
             for i, row in enumerate(batch.drop_columns("matrix").to_pylist()):
-                if row["tokens"] is None:  # of the slice whose own row came before
-                    matrix[np.searchsorted(keys, np.frombuffer(row["keys"], "<i8"))] = _matrix(vectors[i], dimension)
-                    continue
-                if slice_row:
-                    yield from _state(trained(slice_row, keys, matrix))
-                slice_row, words = row, _unpacked(row["words"], "<i8")
-                keys = _with_nodes(words)
-                matrix = np.empty((len(keys), dimension), np.float32) if number else _first_vectors(keys, words, dimension, seed)
-        if slice_row:
-            yield from _state(trained(slice_row, keys, matrix))
+                if row["tokens"] is None:
+                    vectors[row["slice"]].append((np.frombuffer(row["keys"], "<i8"), matrices[i]))
+                else:
+                    rows[row["slice"]] = row
+        for of, row in rows.items():
+            words = _unpacked(row["words"], "<i8")
+            keys = _with_nodes(words)
+            matrix = np.empty((len(keys), dimension), np.float32) if number else _first_vectors(keys, words, dimension, seed)
+            for own, some in vectors.pop(of, ()):
+                matrix[np.searchsorted(keys, own)] = _matrix(some, len(own))
+            yield from _state(trained(row, keys, matrix))
 
     return run
 
@@ -326,8 +332,8 @@ def _round(dimension: int, window: int, number: int, rounds: int, buckets: int,
 STATE_SCHEMA = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("matrix", pa.binary())])
 
 
-def _matrix(scalar: pa.Scalar, dimension: int) -> np.ndarray:
-    return np.frombuffer(scalar.as_buffer(), "<f4").reshape(-1, dimension)
+def _matrix(scalar: pa.Scalar, rows: int, kind: str = BETWEEN) -> np.ndarray:
+    return np.frombuffer(scalar.as_buffer(), kind).reshape(rows, -1)
 
 
 def _state(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +354,7 @@ def _state(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
 
 
 def _means(dimension: int, last: bool) -> Callable:
-    """From the rows of buckets, bucket by bucket, the means of equal keys' vectors over the slices that have
+    """From the rows of buckets the means of equal keys' vectors over the slices that have
     them: for each slice its own again, or at last ``(key, vector)``."""
 
     def mean(rows: list[tuple[int, int, np.ndarray, pa.Scalar]]) -> Iterator[pa.RecordBatch]:
@@ -357,11 +363,11 @@ def _means(dimension: int, last: bool) -> Callable:
         means, counts = np.zeros((len(keys), dimension), np.float32), np.zeros((len(keys), 1), np.float32)
         for _, _, own, vectors in rows:
             at = np.searchsorted(keys, own)
-            means[at] += _matrix(vectors, dimension)
+            means[at] += _matrix(vectors, len(own), "<f4" if last else BETWEEN)
             counts[at] += 1
         means /= counts
         if not last:
-            yield from _state((number, bucket, own.tobytes(), means[np.searchsorted(keys, own)].tobytes()) for number, bucket, own, _ in rows)
+            yield from _state((number, bucket, own.tobytes(), means[np.searchsorted(keys, own)].astype(BETWEEN).tobytes()) for number, bucket, own, _ in rows)
             return
         some = max(1, SENT_BYTES // (8 * dimension))
         for first in range(0, len(keys), some):
@@ -370,16 +376,13 @@ def _means(dimension: int, last: bool) -> Callable:
             yield pa.record_batch([pa.array(keys[first : first + some]), pa.ListArray.from_arrays(offsets, pa.array(own.ravel()))], ["key", "vector"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held = defaultdict(list)  # of one bucket, as they are dealt
         for batch in batches:
             numbers, of = batch.column("slice").to_pylist(), batch.column("bucket").to_pylist()
             for i in range(batch.num_rows):
-                if held and held[0][1] != of[i]:
-                    yield from mean(held)
-                    held = []
-                held.append((numbers[i], of[i], np.frombuffer(batch.column("keys")[i].as_buffer(), "<i8"), batch.column("matrix")[i]))
-        if held:
-            yield from mean(held)
+                held[of[i]].append((numbers[i], of[i], np.frombuffer(batch.column("keys")[i].as_buffer(), "<i8"), batch.column("matrix")[i]))
+        for rows in held.values():
+            yield from mean(rows)
 
     return run
 
@@ -416,10 +419,10 @@ def train(corpus: DataFrame, dimension: int, window: int, iterations: int, parti
         given = encoded if state is None else encoded.unionByName(state, allowMissingColumns=True)
         if state is None:
             given = given.withColumns({"keys": F.lit(None).cast("binary"), "matrix": F.lit(None).cast("binary")})
-        given = given.repartitionById(slices, "slice").sortWithinPartitions("slice", F.col("tokens").isNull())
+        given = given.repartitionById(slices, "slice")
         trained = given.mapInArrow(_round(dimension, window, number, iterations, buckets, seed), STATE)
         last = number == iterations - 1
-        dealt = trained.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
+        dealt = trained.repartitionById(buckets, "bucket")
         averaged = dealt.mapInArrow(_means(dimension, last), "key bigint, vector array<double>" if last else STATE)
         if last:
             state = scratch.keep(averaged, "vectors")

@@ -19,6 +19,7 @@ from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +42,8 @@ ROUNDS_PER_WRITE = 4
 # Between rounds vectors travel as halves, which is half the disk; what comes of the last round as full floats.
 BETWEEN = "<f2"
 
-# Tokens trained at a time. A row that more of their pairs change goes no further than so many steps.
-BATCH, BATCH_STEPS = 128, 128
+# Tokens trained at a time.
+BATCH = 128
 
 # For rows of packed numbers, which may be large: small row groups, whose size is looked at often.
 LARGE_ROWS = {
@@ -76,7 +77,7 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = sentences.flatten().dictionary_encode()
         at = found.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype("<i4")
         counts = np.bincount(at[at >= 0], minlength=len(found.dictionary)).astype(np.int64)
-        words = pa.array([found.dictionary.to_pylist()], pa.list_(pa.string()))
+        words = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
         columns = [[task], [number], words, pa.array([counts], pa.list_(pa.int64())), [_packed(at)], [_packed(sizes)]]
         kinds = (pa.int32(), pa.int64(), None, None, pa.binary(), pa.binary())
         columns = [pa.array(c, k) if k else c for c, k in zip(columns, kinds, strict=True)]
@@ -144,19 +145,19 @@ def _keys(counts: DataFrame, words_by_count: dict[int, int], scratch: Scratch) -
     # Sorted by ranges; a word's place is that in its part, after the words of the parts before.
     ordered = counts.orderBy(F.desc("n"), "word").withColumn("at", F.monotonically_increasing_id())
     ordered = scratch.keep(ordered, "ordered").select("word", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("place"))
-    before, parts = 0, []
+    before, starts = 0, {}
     for row in ordered.groupBy("part").count().orderBy("part").collect():
-        parts.append((row["part"], before))
+        starts[row["part"]] = before
         before += row["count"]
-    starts = counts.sparkSession.createDataFrame(parts, "part bigint, before bigint")
-    rank = F.col("place") + F.col("before")
+    starts = F.lit([starts.get(part, 0) for part in range(max(starts) + 1)])
+    rank = F.col("place") + F.get(starts, F.col("part").cast("int"))
     key, first, code, length = None, 0, 0, 0
     for longer, words in code_lengths(words_by_count).items():
         code, length = code << (longer - length), longer
         coded = rank + F.lit((1 << length) + code - first)
         first, code = first + words, code + words
         key = F.when(rank < first, coded) if key is None else key.when(rank < first, coded)
-    return ordered.join(F.broadcast(starts), "part").select("word", key.alias("key"))
+    return ordered.select("word", key.alias("key"))
 
 
 def _slice_count(words_by_count: dict[int, int], tokens: int, dimension: int, least: int) -> int:
@@ -183,11 +184,15 @@ def _encode(pieces: pa.Table, given: pa.Table) -> pa.Table:
     if not pieces.num_rows or not given.num_rows:
         return ENCODED.empty_table()
     keys = np.sort(np.array(_column(given, "key"), np.int64))
-    place = dict(zip(_column(given, "word"), np.searchsorted(keys, np.array(_column(given, "key"), np.int64)).tolist(), strict=True))
+    place = np.append(np.searchsorted(keys, np.array(_column(given, "key"), np.int64)), -1).astype("<i4")
     tokens, lengths = [], []
-    order = np.lexsort((_column(pieces, "number"), _column(pieces, "task")))
-    for at, sizes, words in zip(*(pieces.take(order).column(c).to_pylist() for c in ("at", "sizes", "words")), strict=True):
-        known = np.array([*(place.get(w, -1) for w in words), -1], "<i4")[_unpacked(at, "<i4")]
+    pieces = pieces.take(np.lexsort((_column(pieces, "number"), _column(pieces, "task"))))
+    words = pieces.column("words")
+    found = pc.index_in(pc.list_flatten(words), value_set=given.column("word").combine_chunks())
+    place = place[found.fill_null(-1).to_numpy()]
+    ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
+    for at, sizes, own in zip(_column(pieces, "at"), _column(pieces, "sizes"), np.split(place, ends[:-1]), strict=True):
+        known = np.append(own, -1)[_unpacked(at, "<i4")]
         sentence = np.repeat(np.arange(len(_unpacked(sizes, "<i4"))), _unpacked(sizes, "<i4"))[known >= 0]
         tokens.append(known[known >= 0])
         lengths.append(_cut(np.bincount(sentence)))
@@ -236,58 +241,77 @@ def _first_vectors(keys: np.ndarray, words: np.ndarray, dimension: int, seed: in
     return matrix
 
 
-def _skip_grams(tokens: np.ndarray, sizes: np.ndarray, window: int, dice: np.random.Generator, batch: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(done, centre, context)`` words of the pairs of a batch of tokens, in windows of random width."""
+def _skip_grams(sizes: np.ndarray, window: int, dice: np.random.Generator, batch: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(start, end, centre, context)``: a batch of tokens and the pairs in windows of random width around them,
+    centres by their place in the batch, contexts by that among the tokens from ``start - window`` on."""
     ends = np.cumsum(sizes, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
     offsets = np.concatenate([np.arange(-window, 0), np.arange(1, window + 1)])
-    for start in range(0, len(tokens), batch):
-        at = np.arange(start, min(start + batch, len(tokens)))
+    for start in range(0, total, batch):
+        end = min(start + batch, total)
+        at = np.arange(start, end)
         sentence = np.searchsorted(ends, at, "right")
         width = window - dice.integers(0, window, len(at))
-        other = at[:, None] + offsets
-        inside = (np.abs(offsets) <= width[:, None]) & (other >= (ends - sizes)[sentence][:, None]) & (other < ends[sentence][:, None])
-        yield start, np.repeat(tokens[at], inside.sum(axis=1)), tokens[other[inside]]
+        low = np.maximum(-width, ends[sentence] - sizes[sentence] - at)
+        high = np.minimum(width, ends[sentence] - 1 - at)
+        centre, context = np.nonzero((offsets >= low[:, None]) & (offsets <= high[:, None]))
+        yield start, end, centre, centre + offsets[context] + window
 
 
 def _train(matrix: np.ndarray, keys: np.ndarray, words: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, window: int, done: float, rounds: int, dice: np.random.Generator) -> None:
     """One round over a slice's sentences; changes the matrix.
 
-    The tokens of a batch are trained at once: the vectors of all its context words times those of all the
-    inner nodes above its centre words, of which the pairs that come count as often as they come.
+    The tokens of a batch are trained at once: the vectors of all words in and around it times those of all the
+    inner nodes above them, where only products of pairs that come are looked at, as often as they come. A row
+    goes no further than where its own loss, by the greatest curvature it may have, could be least.
     """
     row_of = np.searchsorted(keys, words)
     length = np.array([k.bit_length() - 1 for k in words.tolist()])
-    deepest = int(length.max(initial=0))
-    level = np.arange(1, deepest + 1)
-    beyond = level > length[:, None]
-    # By word and level: the row of the node above, and whether the path goes right there.
+    level = np.arange(1, int(length.max(initial=0)) + 1)
+    # By word and level: the row of the node above, and 1 where the path goes left there, -1 for right, 0 beyond it.
     shift = np.maximum(length[:, None] - level, 0)
-    right = ((words[:, None] >> shift) & 1).astype(np.int32)
+    side = (1 - 2 * ((words[:, None] >> shift) & 1)).astype(np.int8) * (level <= length[:, None])
     path = np.searchsorted(keys, words[:, None] >> np.minimum(shift + 1, 62)).astype(np.int32)
-    path[beyond] = -1
-    place = np.zeros(len(keys) + 1, np.int32)
+    place, pulls = np.zeros(len(keys), np.int32), np.zeros(0, np.float32)
     batch = min(BATCH, max(8, len(words) // 8))
-    for start, centre, context in _skip_grams(tokens, sizes, window, dice, batch):
+    for start, end, centre, context in _skip_grams(sizes, window, dice, batch):
         if not len(centre):
             continue
         step = np.float32(max(STEP * (1 - (done + start / len(tokens)) / rounds), LEAST_STEP))
-        outer, centre = np.unique(centre, return_inverse=True)
-        inner, context = np.unique(context, return_inverse=True)
-        nodes = np.unique(path[outer])
-        nodes = nodes[nodes >= 0]
-        n = len(nodes)
-        place[nodes], place[-1] = np.arange(n), n  # those beyond a path go to a column of their own
-        cell = (place[path[outer]] + right[outer] * ((n + 1) * len(inner)))[centre] + (context * (n + 1))[:, None]
-        counts = np.bincount(cell.ravel(), minlength=2 * len(inner) * (n + 1)).astype(np.float32).reshape(2, len(inner), n + 1)[:, :, :n]
-        both = counts[0] + counts[1]
+        inner, inner_of = np.unique(tokens[max(0, start - window) : end + window], return_inverse=True)
+        context = inner_of[context - max(0, window - start)]
+        # The nodes above each token, and the side that its path takes there.
+        sides = side[tokens[start:end]]
+        of, at = np.nonzero(sides)
+        above, sides = path[tokens[start + of], at], sides[of, at].astype(np.float32)
+        nodes = np.sort(above)
+        nodes = nodes[np.flatnonzero(np.diff(nodes, prepend=-1))]
+        place[nodes] = np.arange(len(nodes))
+        above = place[above]
         own = row_of[inner]
-        x, y = matrix[own], matrix[nodes]
+        x, y = matrix.take(own, axis=0), matrix.take(nodes, axis=0)
         product = x @ y.T
-        pull = counts[0] - both / (1 + np.exp(-np.clip(product, -MAX_EXPONENT, MAX_EXPONENT)))
-        pull[np.abs(product) >= MAX_EXPONENT] = 0
-        pairs = np.bincount(context, minlength=len(inner))
-        matrix[own] = x + (step * np.minimum(1, BATCH_STEPS / pairs)).astype(np.float32)[:, None] * (pull @ y)
-        matrix[nodes] = y + (step * np.minimum(1, BATCH_STEPS / both.sum(axis=0))).astype(np.float32)[:, None] * (pull.T @ x)
+        # The nodes above the centre of each pair, and where their products with its context stand.
+        first, many = np.searchsorted(of, np.arange(end - start)), np.bincount(of, minlength=end - start)
+        times = many[centre]
+        which = np.arange(times.sum()) + np.repeat(first[centre] - np.cumsum(times) + times, times)
+        cell = above[which] + np.repeat(context * len(nodes), times)
+        value = product.ravel().take(cell)
+        toward = sides[which]
+        pull = toward / (1 + np.exp(np.minimum(toward * value, MAX_EXPONENT)))
+        pull[np.abs(value) >= MAX_EXPONENT] = 0
+        if len(pulls) < product.size:
+            pulls = np.zeros(2 * product.size, np.float32)
+        np.add.at(pulls, cell, pull)
+        pull = pulls[: product.size].reshape(product.shape)
+        # Sums of squares of the vectors each row meets.
+        square = np.bincount(centre, np.einsum("xd,xd->x", x, x)[context], minlength=end - start)
+        square_y = np.bincount(above, square[of], minlength=len(nodes))
+        square = np.bincount(of, np.einsum("yd,yd->y", y, y)[above], minlength=end - start)
+        square_x = np.bincount(context, square[centre], minlength=len(inner))
+        matrix[own] = x + (step / np.maximum(1, square_x * (step / 4))).astype(np.float32)[:, None] * (pull @ y)
+        matrix[nodes] = y + (step / np.maximum(1, square_y * (step / 4))).astype(np.float32)[:, None] * (pull.T @ x)
+        pulls[cell] = 0
 
 
 def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:

@@ -70,3 +70,73 @@ def test_odd_corpora(spark):
 
 def test_long_sentences_are_cut():
     assert t._cut(np.array([0, 3, 1000, 1001, 2500, 0])).tolist() == [3, 1000, 1000, 1, 1000, 1000, 500]
+
+
+def frequent_and_rare():
+    """A slice's words, the keys of words and nodes, and tokens whose neighbours are like each other; some
+    sentences come many times in a row."""
+    dice = np.random.default_rng(5)
+    ranks = np.minimum(dice.zipf(1.3, (2000, 10)), 4000) * 2 + dice.integers(0, 2, (2000, 1))
+    ranks = np.repeat(ranks, np.where(np.arange(2000) % 20, 1, 100), axis=0)
+    _, tokens, counts = np.unique(ranks.ravel(), return_inverse=True, return_counts=True)
+    order = np.argsort(-counts, kind="stable")
+    words, code, length = [], 0, 0
+    for longer, number in t.code_lengths(dict(Counter(counts.tolist()))).items():
+        code, length = code << (longer - length), longer
+        words += range((1 << length) + code, (1 << length) + code + number)
+        code += number
+    words = np.array(words)
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words))
+    return words, t._with_nodes(words), place[tokens].astype(np.int32), np.full(len(ranks), 10)
+
+
+def above(key):
+    """``(node, 1 for left and -1 for right)`` of all nodes above a word."""
+    return [(key >> k, 1 - 2 * (key >> (k - 1) & 1)) for k in range(key.bit_length() - 1, 0, -1)]
+
+
+def test_many_words_are_learnt():
+    """Where tokens are trained many at a time, pairs become likelier than without any training, also
+    where a batch has the same ones over and over."""
+    words, keys, tokens, sizes = frequent_and_rare()
+    assert len(words) > 8 * t.BATCH
+    matrix = t._first_vectors(keys, words, 50, 1)
+
+    def likelihood():
+        total = 0
+        for i in range(0, 3000, 10):
+            for centre, context in zip(tokens[i + 1 : i + 10], tokens[i : i + 9], strict=True):
+                x = matrix[np.searchsorted(keys, words[context])]
+                total -= sum(np.logaddexp(0, -s * (x @ matrix[np.searchsorted(keys, node)])) for node, s in above(int(words[centre])))
+        return total / 2700
+
+    before = likelihood()
+    for number in range(2):
+        t._train(matrix, keys, words, tokens, sizes, 3, number, 2, np.random.default_rng(number))
+    assert np.isfinite(matrix).all() and likelihood() > before
+
+
+@pytest.mark.parametrize("size", [0.1, 2.0])
+def test_a_batch_is_the_sum_of_its_pairs(size):
+    """Also where windows reach over the ends of sentences, of which one has a single word; none goes too far."""
+    dice = np.random.default_rng(4)
+    words = np.array([2, 12, 13, 14, 15])
+    keys = t._with_nodes(words)
+    tokens, sizes = dice.integers(0, 5, 8).astype(np.int32), np.array([5, 1, 2])
+    matrix = dice.normal(0, size, (len(keys), 6)).astype(np.float32)
+    changes, met = np.zeros((len(keys), 6)), np.zeros(len(keys))
+    ends, width = np.cumsum(sizes), 3 - np.random.default_rng(7).integers(0, 3, 8)
+    for i in range(8):
+        s = np.searchsorted(ends, i, "right")
+        for j in range(max(ends[s] - sizes[s], i - width[i]), min(ends[s], i + width[i] + 1)):
+            for node, side in above(int(words[tokens[i]])) if i != j else ():
+                x, y = np.searchsorted(keys, (words[tokens[j]], node))
+                product = float(matrix[x] @ matrix[y])
+                pull = side / (1 + math.exp(side * product)) if abs(product) < t.MAX_EXPONENT else 0
+                changes[x], changes[y] = changes[x] + pull * matrix[y], changes[y] + pull * matrix[x]
+                met[x], met[y] = met[x] + matrix[y] @ matrix[y], met[y] + matrix[x] @ matrix[x]
+    assert (met.max() * t.STEP / 4 > 1) == (size > 1)
+    expected = matrix + changes * (t.STEP / np.maximum(1, met * t.STEP / 4))[:, None]
+    t._train(matrix, keys, words, tokens, sizes, 3, 0, 1, np.random.default_rng(7))
+    assert np.allclose(matrix, expected, atol=1e-5)

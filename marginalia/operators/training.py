@@ -258,6 +258,15 @@ def _skip_grams(sizes: np.ndarray, window: int, dice: np.random.Generator, batch
         yield start, end, centre, centre + offsets[context] + window
 
 
+def _different(numbers: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers, and which of them each is; ``place`` has room for one entry per possible number."""
+    at = np.arange(len(numbers), dtype=np.int32)
+    place[numbers] = at
+    same = place[numbers]  # one and the same of those that are equal
+    kept = same == at
+    return numbers[kept], (np.cumsum(kept, dtype=np.int32) - 1)[same]
+
+
 def _train(matrix: np.ndarray, keys: np.ndarray, words: np.ndarray, tokens: np.ndarray, sizes: np.ndarray, window: int, done: float, rounds: int, dice: np.random.Generator) -> None:
     """One round over a slice's sentences; changes the matrix.
 
@@ -266,36 +275,37 @@ def _train(matrix: np.ndarray, keys: np.ndarray, words: np.ndarray, tokens: np.n
     goes no further than where its own loss, by the greatest curvature it may have, could be least.
     """
     row_of = np.searchsorted(keys, words)
-    length = np.array([k.bit_length() - 1 for k in words.tolist()])
+    length = np.array([k.bit_length() - 1 for k in words.tolist()], np.int32)
     level = np.arange(1, int(length.max(initial=0)) + 1)
     # By word and level: the row of the node above, and 1 where the path goes left there, -1 for right, 0 beyond it.
     shift = np.maximum(length[:, None] - level, 0)
     side = (1 - 2 * ((words[:, None] >> shift) & 1)).astype(np.int8) * (level <= length[:, None])
     path = np.searchsorted(keys, words[:, None] >> np.minimum(shift + 1, 62)).astype(np.int32)
-    place, pulls = np.zeros(len(keys), np.int32), np.zeros(0, np.float32)
+    place, place_of_word, pulls = np.zeros(len(keys), np.int32), np.zeros(len(words), np.int32), np.zeros(0, np.float32)
     batch = min(BATCH, max(8, len(words) // 8))
     for start, end, centre, context in _skip_grams(sizes, window, dice, batch):
         if not len(centre):
             continue
         step = np.float32(max(STEP * (1 - (done + start / len(tokens)) / rounds), LEAST_STEP))
-        inner, inner_of = np.unique(tokens[max(0, start - window) : end + window], return_inverse=True)
+        inner, inner_of = _different(tokens[max(0, start - window) : end + window], place_of_word)
         context = inner_of[context - max(0, window - start)]
         # The nodes above each token, and the side that its path takes there.
-        sides = side[tokens[start:end]]
-        of, at = np.nonzero(sides)
-        above, sides = path[tokens[start + of], at], sides[of, at].astype(np.float32)
-        nodes = np.sort(above)
-        nodes = nodes[np.flatnonzero(np.diff(nodes, prepend=-1))]
-        place[nodes] = np.arange(len(nodes))
-        above = place[above]
+        own_tokens = tokens[start:end]
+        many = length[own_tokens]
+        first = np.cumsum(many, dtype=np.int32) - many
+        sides = side[own_tokens]
+        of = np.repeat(np.arange(end - start, dtype=np.int32), many)
+        there = sides != 0
+        above, sides = path[own_tokens][there], sides[there].astype(np.float32)
+        nodes, above = _different(above, place)
         own = row_of[inner]
         x, y = matrix.take(own, axis=0), matrix.take(nodes, axis=0)
         product = x @ y.T
         # The nodes above the centre of each pair, and where their products with its context stand.
-        first, many = np.searchsorted(of, np.arange(end - start)), np.bincount(of, minlength=end - start)
         times = many[centre]
-        which = np.arange(times.sum()) + np.repeat(first[centre] - np.cumsum(times) + times, times)
-        cell = above[which] + np.repeat(context * len(nodes), times)
+        ends = np.cumsum(times, dtype=np.int32)
+        which = np.arange(ends[-1], dtype=np.int32) + np.repeat(first[centre] - ends + times, times)
+        cell = above[which] + np.repeat(context * np.int32(len(nodes)), times)
         value = product.ravel().take(cell)
         toward = sides[which]
         pull = toward / (1 + np.exp(np.minimum(toward * value, MAX_EXPONENT)))

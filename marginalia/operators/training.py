@@ -6,6 +6,10 @@ of its own words and of the inner nodes above them, and sends them as packed row
 where they are averaged and from where each slice gets its own back. So memory is bounded by ``MODEL_BYTES``
 and ``BUCKET_BYTES``, whatever the vocabulary.
 
+Disk is bounded too: the slices of a round take turns in "waves" of about as many as can run at once. A wave's
+vectors are added to the sums of those before, and what was shuffled for it goes before the next one. So the
+shuffled vectors are those of a wave, not of all slices; beside them stand the model and its sums, once each.
+
 The tree is a canonical Huffman tree, whose shape follows from the number of words of each count. A key is a
 code after a leading 1: a word's is its leaf's, and the keys of the inner nodes above are its prefixes.
 """
@@ -24,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.scratch import Scratch
+from marginalia.scratch import Scratch, shuffles_removed
 
 # Words trained as one sentence at most, and the first and least step, as in Spark's trainer.
 SENTENCE = 1_000
@@ -35,8 +39,12 @@ MAX_EXPONENT = 6
 PIECE_TOKENS = 25_000
 SLICE_TOKENS = 16_000_000
 MODEL_BYTES = 256 << 20
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 SENT_BYTES = 4 << 20  # sent on at a time
+# Bytes of vectors that a wave of slices is given, where that is more than one slice per core; tokens that are laid out at once.
+WAVE_BYTES = 128 << 20
+ENCODED_TOKENS = 64_000_000
+# Rounds of a model of less than a bucket that run without a write in between.
 ROUNDS_PER_WRITE = 4
 
 # Between rounds vectors travel as halves, which is half the disk; what comes of the last round as full floats.
@@ -54,16 +62,46 @@ LARGE_ROWS = {
     "parquet.enable.dictionary": "false",
 }
 
-STATE = "slice int, bucket int, keys binary, matrix binary"
+TRAINED = "slice int, bucket int, keys binary, matrix binary"
+HELD = "bucket int, keys binary, matrix binary, counts binary"
+VECTORS = "key bigint, vector array<float>"
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    raw = numbers.tobytes()
+    """The numbers' first bytes, then their second ones, and so on, as most high bytes are null."""
+    raw = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), kind)
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Rising keys, by their distances."""
+    return _packed(np.diff(keys, prepend=np.int64(0)))
+
+
+def _unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, "<i8"))
+
+
+def _packed_words(words: pa.Array) -> tuple[bytes, bytes]:
+    """Their letters in a row, and how many bytes each has."""
+    words = words.cast(pa.string())
+    _, ends, letters = words.buffers()
+    ends = np.frombuffer(ends, "<i4")[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, "<i4")
+    letters = np.frombuffer(letters or b"", np.uint8)[ends[0] : ends[-1]]
+    return _packed(letters), _packed(np.diff(ends))
+
+
+def _unpacked_words(letters: bytes, sizes: bytes) -> pa.Array:
+    ends = np.cumsum(np.append(0, _unpacked(sizes, "<i4"))).astype("<i4")
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(_unpacked(letters, "u1")))
+
+
+PIECES = "task int, number bigint, letters binary, letter_counts binary, counts binary, at binary, sizes binary"
 
 
 def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,12 +114,12 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = sentences.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype("<i4")
         found = sentences.flatten().dictionary_encode()
         at = found.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype("<i4")
-        counts = np.bincount(at[at >= 0], minlength=len(found.dictionary)).astype(np.int64)
-        words = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
-        columns = [[task], [number], words, pa.array([counts], pa.list_(pa.int64())), [_packed(at)], [_packed(sizes)]]
-        kinds = (pa.int32(), pa.int64(), None, None, pa.binary(), pa.binary())
-        columns = [pa.array(c, k) if k else c for c, k in zip(columns, kinds, strict=True)]
-        return pa.record_batch(columns, ["task", "number", "words", "counts", "at", "sizes"])
+        counts = np.bincount(at[at >= 0], minlength=len(found.dictionary)).astype("<i8")
+        letters, letter_counts = _packed_words(found.dictionary)
+        columns = [[task], [number], [letters], [letter_counts], [_packed(counts)], [_packed(at)], [_packed(sizes)]]
+        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5)
+        names = ["task", "number", "letters", "letter_counts", "counts", "at", "sizes"]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     held, total = [], 0
     for batch in batches:
@@ -101,6 +139,15 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(held)
 
 
+def _words_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each different word of a piece, with the piece's slice and how often the word comes."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            words = _unpacked_words(row["letters"], row["letter_counts"])
+            slices = pa.array(np.full(len(words), row["slice"], np.int32))
+            yield pa.record_batch([slices, words, pa.array(_unpacked(row["counts"], "<i8"))], ["slice", "word", "n"])
+
+
 def code_lengths(words_by_count: dict[int, int]) -> dict[int, int]:
     """How many words have a Huffman code of each length, from how many words have each count.
 
@@ -187,17 +234,17 @@ def _encode(pieces: pa.Table, given: pa.Table) -> pa.Table:
     place = np.append(np.searchsorted(keys, np.array(_column(given, "key"), np.int64)), -1).astype("<i4")
     tokens, lengths = [], []
     pieces = pieces.take(np.lexsort((_column(pieces, "number"), _column(pieces, "task"))))
-    words = pieces.column("words")
-    found = pc.index_in(pc.list_flatten(words), value_set=given.column("word").combine_chunks())
+    words = [_unpacked_words(*w) for w in zip(_column(pieces, "letters"), _column(pieces, "letter_counts"), strict=True)]
+    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+    found = pc.index_in(pa.chunked_array(words, pa.string()), value_set=given.column("word").combine_chunks().cast(pa.string()))
     place = place[found.fill_null(-1).to_numpy()]
-    ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
     for at, sizes, own in zip(_column(pieces, "at"), _column(pieces, "sizes"), np.split(place, ends[:-1]), strict=True):
         known = np.append(own, -1)[_unpacked(at, "<i4")]
         sentence = np.repeat(np.arange(len(_unpacked(sizes, "<i4"))), _unpacked(sizes, "<i4"))[known >= 0]
         tokens.append(known[known >= 0])
         lengths.append(_cut(np.bincount(sentence)))
     tokens, lengths = np.concatenate(tokens).astype("<i4"), np.concatenate(lengths).astype("<i4")
-    columns = [[pieces.column("slice")[0].as_py()], [_packed(keys)], [_packed(tokens)], [_packed(lengths)], [len(_with_nodes(keys))]]
+    columns = [[pieces.column("slice")[0].as_py()], [_packed_keys(keys)], [_packed(tokens)], [_packed(lengths)], [len(_with_nodes(keys))]]
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, ENCODED, strict=True)], schema=ENCODED)
 
 
@@ -210,6 +257,7 @@ def _cut(sizes: np.ndarray) -> np.ndarray:
     return cut
 
 
+ENCODED_ROWS = "slice int, words binary, tokens binary, lengths binary, vectors bigint"
 ENCODED = pa.schema([("slice", pa.int32()), ("words", pa.binary()), ("tokens", pa.binary()), ("lengths", pa.binary()), ("vectors", pa.int64())])
 
 
@@ -276,11 +324,13 @@ def _train(matrix: np.ndarray, keys: np.ndarray, words: np.ndarray, tokens: np.n
     """
     row_of = np.searchsorted(keys, words)
     length = np.array([k.bit_length() - 1 for k in words.tolist()], np.int32)
-    level = np.arange(1, int(length.max(initial=0)) + 1)
     # By word and level: the row of the node above, and 1 where the path goes left there, -1 for right, 0 beyond it.
-    shift = np.maximum(length[:, None] - level, 0)
-    side = (1 - 2 * ((words[:, None] >> shift) & 1)).astype(np.int8) * (level <= length[:, None])
-    path = np.searchsorted(keys, words[:, None] >> np.minimum(shift + 1, 62)).astype(np.int32)
+    levels = int(length.max(initial=0))
+    side, path = np.empty((len(words), levels), np.int8), np.empty((len(words), levels), np.int32)
+    for level in range(levels):  # not all at once, as numbers of 8 bytes
+        shift = np.maximum(length - level - 1, 0)
+        side[:, level] = (1 - 2 * ((words >> shift) & 1)) * (level < length)
+        path[:, level] = np.searchsorted(keys, words >> np.minimum(shift + 1, 62))
     place, place_of_word, pulls = np.zeros(len(keys), np.int32), np.zeros(len(words), np.int32), np.zeros(0, np.float32)
     batch = min(BATCH, max(8, len(words) // 8))
     for start, end, centre, context in _skip_grams(sizes, window, dice, batch):
@@ -324,8 +374,12 @@ def _train(matrix: np.ndarray, keys: np.ndarray, words: np.ndarray, tokens: np.n
         pulls[cell] = 0
 
 
-def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (_mixed(keys.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+def _dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets, and which of the keys each has, in order."""
+    of = (_mixed(keys.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+        yield int(of[own[0]]), own
 
 
 def _round(dimension: int, window: int, number: int, rounds: int, buckets: int, seed: int) -> Callable:
@@ -333,15 +387,13 @@ def _round(dimension: int, window: int, number: int, rounds: int, buckets: int,
     bucket; in the last round those of words alone."""
 
     def trained(row: dict, keys: np.ndarray, matrix: np.ndarray) -> Iterator[tuple]:
-        words, tokens, sizes = _unpacked(row["words"], "<i8"), _unpacked(row["tokens"], "<i4"), _unpacked(row["lengths"], "<i4")
+        words, tokens, sizes = _unpacked_keys(row["words"]), _unpacked(row["tokens"], "<i4"), _unpacked(row["lengths"], "<i4")
         _train(matrix, keys, words, tokens, sizes, window, number, rounds, np.random.default_rng([seed % (1 << 63), number, row["slice"]]))
         sent = np.searchsorted(keys, words) if number == rounds - 1 else np.arange(len(keys))
-        of = _bucket_of(keys[sent], buckets)
-        order = np.argsort(of, kind="stable")
-        for own in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
-            yield row["slice"], int(of[own[0]]), keys[sent[own]].tobytes(), matrix[sent[own]].astype(kind).tobytes()
+        for bucket, own in _dealt(keys[sent], buckets):
+            yield row["slice"], bucket, _packed_keys(keys[sent[own]]), matrix[sent[own]].astype(kind).tobytes()
 
-    kind = "<f4" if number == rounds - 1 else BETWEEN
+    kind = _kind(number, rounds)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, vectors = {}, defaultdict(list)  # of one slice, as they are dealt
@@ -349,119 +401,207 @@ def _round(dimension: int, window: int, number: int, rounds: int, buckets: int,
             matrices = batch.column("matrix")
             for i, row in enumerate(batch.drop_columns("matrix").to_pylist()):
                 if row["tokens"] is None:
-                    vectors[row["slice"]].append((np.frombuffer(row["keys"], "<i8"), matrices[i]))
+                    vectors[row["slice"]].append((_unpacked_keys(row["keys"]), matrices[i]))
                 else:
                     rows[row["slice"]] = row
         for of, row in rows.items():
-            words = _unpacked(row["words"], "<i8")
+            words = _unpacked_keys(row["words"])
             keys = _with_nodes(words)
             matrix = np.empty((len(keys), dimension), np.float32) if number else _first_vectors(keys, words, dimension, seed)
             for own, some in vectors.pop(of, ()):
-                matrix[np.searchsorted(keys, own)] = _matrix(some, len(own))
-            yield from _state(trained(row, keys, matrix))
+                matrix[np.searchsorted(keys, own)] = _matrix(some, len(own), BETWEEN)
+            yield from _sent(trained(row, keys, matrix))
 
     return run
 
 
-STATE_SCHEMA = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("matrix", pa.binary())])
+def _kind(number: int, rounds: int) -> str:
+    """What a round's trained vectors travel as."""
+    return "<f4" if number == rounds - 1 else BETWEEN
 
 
-def _matrix(scalar: pa.Scalar, rows: int, kind: str = BETWEEN) -> np.ndarray:
+TRAINED_SCHEMA = pa.schema([("slice", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("matrix", pa.binary())])
+HELD_SCHEMA = pa.schema([("bucket", pa.int32()), ("keys", pa.binary()), ("matrix", pa.binary()), ("counts", pa.binary())])
+
+
+def _matrix(scalar: pa.Scalar, rows: int, kind: str) -> np.ndarray:
     return np.frombuffer(scalar.as_buffer(), kind).reshape(rows, -1)
 
 
-def _state(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
-    """Batches of a few MB."""
-    held, size = [], 0
+def _columns(rows: Iterable[tuple], schema: pa.Schema) -> list[pa.Array]:
+    return [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
 
-    def batch() -> pa.RecordBatch:
-        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), STATE_SCHEMA, strict=True)], schema=STATE_SCHEMA)
 
+def _sent(rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Batches of a few MB."""
+    held, size = [], 0
     for row in rows:
         held.append(row)
         size += len(row[3])
         if size >= SENT_BYTES:
-            yield batch()
+            yield pa.record_batch(_columns(held, TRAINED_SCHEMA), schema=TRAINED_SCHEMA)
             held, size = [], 0
     if held:
-        yield batch()
-
-
-def _means(dimension: int, last: bool) -> Callable:
-    """From the rows of buckets the means of equal keys' vectors over the slices that have
-    them: for each slice its own again, or at last ``(key, vector)``."""
-
-    def mean(rows: list[tuple[int, int, np.ndarray, pa.Scalar]]) -> Iterator[pa.RecordBatch]:
-        rows.sort(key=lambda r: r[0])
-        keys = np.unique(np.concatenate([own for _, _, own, _ in rows]))
-        means, counts = np.zeros((len(keys), dimension), np.float32), np.zeros((len(keys), 1), np.float32)
-        for _, _, own, vectors in rows:
-            at = np.searchsorted(keys, own)
-            means[at] += _matrix(vectors, len(own), "<f4" if last else BETWEEN)
-            counts[at] += 1
-        means /= counts
-        if not last:
-            yield from _state((number, bucket, own.tobytes(), means[np.searchsorted(keys, own)].astype(BETWEEN).tobytes()) for number, bucket, own, _ in rows)
-            return
-        some = max(1, SENT_BYTES // (8 * dimension))
-        for first in range(0, len(keys), some):
-            own = means[first : first + some].astype(np.float64)
-            offsets = pa.array(np.arange(len(own) + 1, dtype=np.int32) * dimension)
-            yield pa.record_batch([pa.array(keys[first : first + some]), pa.ListArray.from_arrays(offsets, pa.array(own.ravel()))], ["key", "vector"])
+        yield pa.record_batch(_columns(held, TRAINED_SCHEMA), schema=TRAINED_SCHEMA)
+
+
+def _asked(buckets: int) -> Callable:
+    """From slices' rows the keys whose vectors each asks of each bucket."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = defaultdict(list)  # of one bucket, as they are dealt
         for batch in batches:
-            numbers, of = batch.column("slice").to_pylist(), batch.column("bucket").to_pylist()
-            for i in range(batch.num_rows):
-                held[of[i]].append((numbers[i], of[i], np.frombuffer(batch.column("keys")[i].as_buffer(), "<i8"), batch.column("matrix")[i]))
-        for rows in held.values():
-            yield from mean(rows)
+            for row in batch.to_pylist():
+                keys = _with_nodes(_unpacked_keys(row["words"]))
+                rows = [(row["slice"], bucket, _packed_keys(keys[own])) for bucket, own in _dealt(keys, buckets)]
+                yield pa.record_batch(_columns(rows, TRAINED_SCHEMA.remove(3)), schema=TRAINED_SCHEMA.remove(3))
 
     return run
 
 
+def _answered(model: pa.Table, asked: pa.Table) -> pa.Table:
+    """What slices asked of a bucket."""
+    if not asked.num_rows:
+        return TRAINED_SCHEMA.empty_table()
+    keys = _unpacked_keys(model.column("keys")[0].as_py())
+    matrix = _matrix(model.column("matrix")[0], len(keys), BETWEEN)
+    rows = ((*row.values(), matrix[np.searchsorted(keys, _unpacked_keys(row["keys"]))].tobytes()) for row in asked.select(["slice", "bucket", "keys"]).to_pylist())
+    return pa.table(_columns(rows, TRAINED_SCHEMA), schema=TRAINED_SCHEMA)
+
+
+def _added(dimension: int, kind: str, over: bool) -> Callable:
+    """With what a wave has trained, to what the waves before have left of a bucket, if anything."""
+
+    def added(held: pa.Table, trained: pa.Table) -> pa.Table:
+        return _sums(dimension, kind, over, held, trained)
+
+    return added
+
+
+def _first_added(dimension: int, kind: str, over: bool) -> Callable:
+    def added(trained: pa.Table) -> pa.Table:
+        return _sums(dimension, kind, over, HELD_SCHEMA.empty_table(), trained)
+
+    return added
+
+
+def _sums(dimension: int, kind: str, over: bool, held: pa.Table, trained: pa.Table) -> pa.Table:
+    """A bucket's sums of equal keys' vectors over the slices that have them, and of how many, with those of the
+    waves before. After the last wave the means: as the next round takes them, or at last ``(key, vector)``."""
+    rows = sorted((number, i) for i, number in enumerate(_column(trained, "slice")))
+    own = [_unpacked_keys(trained.column("keys")[i].as_py()) for _, i in rows]
+    before = _unpacked_keys(held.column("keys")[0].as_py()) if held.num_rows else np.zeros(0, np.int64)
+    keys = np.unique(np.concatenate([before, *own]))
+    sums, counts = np.zeros((len(keys), dimension), np.float32), np.zeros(len(keys), "<i4")
+    if held.num_rows:
+        at = np.searchsorted(keys, before)
+        sums[at] = _matrix(held.column("matrix")[0], len(before), "<f4")
+        counts[at] = _unpacked(held.column("counts")[0].as_py(), "<i4")
+    for (_, i), some in zip(rows, own, strict=True):
+        at = np.searchsorted(keys, some)
+        sums[at] += _matrix(trained.column("matrix")[i], len(some), kind)
+        counts[at] += 1
+    bucket = (held if held.num_rows else trained).column("bucket")[0].as_py()
+    if not over:
+        return pa.table(_columns([(bucket, _packed_keys(keys), sums.tobytes(), _packed(counts))], HELD_SCHEMA), schema=HELD_SCHEMA)
+    sums /= counts[:, None]
+    if kind == BETWEEN:
+        return pa.table(_columns([(bucket, _packed_keys(keys), sums.astype(BETWEEN).tobytes(), None)], HELD_SCHEMA), schema=HELD_SCHEMA)
+    offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * dimension)
+    return pa.table({"key": keys, "vector": pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))})
+
+
 def train(corpus: DataFrame, dimension: int, window: int, iterations: int, partitions: int, min_count: int, seed: int, scratch: Scratch) -> DataFrame:
     """``(word, vector)`` of the words that come ``min_count`` times in ``corpus(tokens)``.
 
-    The corpus is read once. ``partitions`` slices at least are trained side by side, as far as there are
-    that many pieces; more, where a slice's vectors would be too many for a task.
+    The corpus is read once. ``partitions`` slices at least are trained apart from each other, as far as there
+    are that many pieces; more, where a slice's vectors would be too many for a task.
     """
-    pieces = corpus.select("tokens").mapInArrow(_pieces, "task int, number bigint, words array<string>, counts array<bigint>, at binary, sizes binary")
-    pieces = scratch.keep(pieces, "pieces", **LARGE_ROWS)
-    counted = pieces.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select("w.words", "w.counts")
-    counts = counted.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("n"))
-    counts = scratch.keep(counts.filter((F.col("n") >= min_count) & F.col("word").isNotNull()), "counts")
+    with shuffles_removed(corpus.sparkSession):
+        keys, encoded, words = _laid_out(corpus, dimension, partitions, min_count, scratch)
+        vectors = _trained(encoded, words, dimension, window, iterations, seed, scratch)
+        scratch.drop(encoded)
+    return keys.join(vectors, "key").select("word", F.col("vector").cast("array<double>").alias("vector"))
+
+
+def _laid_out(corpus: DataFrame, dimension: int, partitions: int, min_count: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """``(word, key)`` of the vocabulary, a row for each slice of the corpus (``_encode``), and how many words there are."""
+    pieces = scratch.keep(corpus.select("tokens").mapInArrow(_pieces, PIECES), "pieces", **LARGE_ROWS)
+    words = ("slice", "letters", "letter_counts", "counts")
+    counted = pieces.withColumn("slice", F.lit(0)).select(*words).mapInArrow(_words_of, "slice int, word string, n bigint")
+    counts = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    counts = scratch.keep(counts.filter((F.col("n") >= min_count) & F.col("word").isNotNull()), "counts", compression="zstd")
     words_by_count = {row["n"]: row["words"] for row in counts.groupBy("n").agg(F.count("*").alias("words")).collect()}
     if not words_by_count:
         raise ValueError("The vocabulary size should be > 0. You may need to check the setting of minCount, which could be large enough to remove all your words in sentences.")
-    keys = scratch.keep(_keys(counts, words_by_count, scratch), "keys")
-    slices = _slice_count(words_by_count, sum(n * words for n, words in words_by_count.items()), dimension, partitions)
+    keys = scratch.keep(_keys(counts, words_by_count, scratch), "keys", compression="zstd")
+    scratch.drop(counts)
+    tokens = sum(n * words for n, words in words_by_count.items())
+    slices = _slice_count(words_by_count, tokens, dimension, partitions)
     # The pieces of a task go to slices in turn.
-    pieces = pieces.withColumn("slice", F.pmod(F.xxhash64("task") + F.col("number"), F.lit(slices)).cast("int"))
-    given = pieces.select(F.col("slice").alias("of"), F.explode("words").alias("word")).distinct().join(keys, "word")
-
-    def by(df: DataFrame, key: str):
-        return df.repartition(slices, key).groupBy(key)  # as many tasks as slices
-
-    encoded = by(pieces, "slice").cogroup(by(given, "of"))
-    encoded = scratch.keep(encoded.applyInArrow(_encode, "slice int, words binary, tokens binary, lengths binary, vectors bigint"), "encoded", **LARGE_ROWS)
-    vectors = encoded.agg(F.sum("vectors")).first()[0] or 0
-    buckets = max(1, partitions, ceil(vectors * dimension * 4 / BUCKET_BYTES))
-    state = None
+    pieces_at = pieces.withColumn("slice", F.pmod(F.xxhash64("task") + F.col("number"), F.lit(slices)).cast("int"))
+    given = pieces_at.select(*words).mapInArrow(_words_of, "slice int, word string, n bigint")
+    given = given.select(F.col("slice").alias("of"), "word").distinct().join(keys, "word").select("of", "word", "key")
+    given = scratch.keep(given, "given", compression="zstd")
+
+    def encoded(first: int, end: int) -> DataFrame:
+        def by(df: DataFrame, key: str):
+            own = df.filter(F.col(key).between(first, end - 1))
+            return own.repartition(end - first, key).groupBy(key)  # as many tasks as slices
+
+        return by(pieces_at.drop("counts"), "slice").cogroup(by(given, "of")).applyInArrow(_encode, ENCODED_ROWS)
+
+    some = max(1, slices // ceil(tokens / ENCODED_TOKENS))
+    found = scratch.keep_all((encoded(first, min(first + some, slices)) for first in range(0, slices, some)), "encoded", **LARGE_ROWS)
+    scratch.drop(pieces)
+    scratch.drop(given)
+    return keys, found, sum(words_by_count.values())
+
+
+def _trained(encoded: DataFrame, words: int, dimension: int, window: int, iterations: int, seed: int, scratch: Scratch) -> DataFrame:
+    """``(key, vector)`` of all words, from the slices' rows."""
+    slices, vectors = encoded.agg(F.max("slice") + 1, F.sum("vectors")).first()
+    slices, vectors = slices or 1, vectors or 0
+    cores = encoded.sparkSession.sparkContext.defaultParallelism
+    wide = cores * max(1, int(WAVE_BYTES // (cores * max(1, vectors / slices * dimension * 2))))
+    waves = [(first, min(first + wide, slices)) for first in range(0, slices, wide)]
+    # A bucket has its part of what a wave sends, and of all words and inner nodes.
+    most = encoded.groupBy(F.floor(F.col("slice") / wide)).agg(F.sum("vectors").alias("n")).agg(F.max("n")).first()[0] or 0
+    buckets = max(1, cores, ceil((most + 2 * words) * dimension * 4 / BUCKET_BYTES))
+    small = len(waves) == 1 and vectors * dimension * 4 <= BUCKET_BYTES
+    model, kept, last = None, [], iterations - 1
     for number in range(iterations):
-        given = encoded if state is None else encoded.unionByName(state, allowMissingColumns=True)
-        if state is None:
-            given = given.withColumns({"keys": F.lit(None).cast("binary"), "matrix": F.lit(None).cast("binary")})
-        given = given.repartitionById(slices, "slice")
-        trained = given.mapInArrow(_round(dimension, window, number, iterations, buckets, seed), STATE)
-        last = number == iterations - 1
-        dealt = trained.repartitionById(buckets, "bucket")
-        averaged = dealt.mapInArrow(_means(dimension, last), "key bigint, vector array<double>" if last else STATE)
-        if last:
-            state = scratch.keep(averaged, "vectors")
-        elif number % ROUNDS_PER_WRITE == ROUNDS_PER_WRITE - 1:
-            state = scratch.keep(averaged, "state", **LARGE_ROWS)
-        else:
-            state = averaged
-    return keys.join(state, "key").select("word", "vector")
+        sums, kind = None, _kind(number, iterations)
+        for first, end in waves:
+            own = encoded.filter(F.col("slice").between(first, end - 1))
+            if model is None:
+                given = own.withColumns({"keys": F.lit(None).cast("binary"), "matrix": F.lit(None).cast("binary")})
+            else:
+                asked = own.select("slice", "words").mapInArrow(_asked(buckets), TRAINED.replace(", matrix binary", ""))
+                asked = asked.repartition(buckets, "bucket").groupBy("bucket")
+                answered = model.groupBy("bucket").cogroup(asked).applyInArrow(_answered, TRAINED)
+                given = own.unionByName(answered.drop("bucket"), allowMissingColumns=True)
+            given = given.repartitionById(end - first, F.col("slice") - first)
+            dealt = given.mapInArrow(_round(dimension, window, number, iterations, buckets, seed), TRAINED)
+            dealt = dealt.repartition(buckets, "bucket").groupBy("bucket")
+            over = end == slices
+            rows = VECTORS if over and number == last else HELD
+            if sums is None:
+                added = dealt.applyInArrow(_first_added(dimension, kind, over), rows)
+            else:
+                added = sums.groupBy("bucket").cogroup(dealt).applyInArrow(_added(dimension, kind, over), rows)
+            if rows == VECTORS:
+                sums = scratch.keep(added, "vectors", compression="zstd")
+            elif small and number % ROUNDS_PER_WRITE != ROUNDS_PER_WRITE - 1:
+                sums = added
+                continue
+            else:
+                sums = scratch.keep_bucketed(added, "sums", "bucket", buckets, **LARGE_ROWS)
+            # What went into the model that is still asked stays.
+            if over:
+                while kept:
+                    scratch.drop(kept.pop())
+            elif len(kept) > (model is not None):
+                scratch.drop(kept.pop())
+            kept.append(sums)
+        model = sums
+    return model

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -17,6 +20,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, the files of a shuffle go once the write or answer they were for is done, and not only when
+    the driver happens to collect its garbage. The session's own setting holds again afterwards."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 class Scratch:
     """One run's own folder below the shared one; as a context manager it deletes it at the end.
 
@@ -48,17 +63,28 @@ class Scratch:
         kept.scratch_path = path
         return kept
 
+    def keep_all(self, parts: Iterable[DataFrame], name: str, **options: str) -> DataFrame:
+        """As ``keep``, for the rows of several tables of one schema, written one after the other."""
+        path = self.file(name)
+        for df in parts:
+            df.write.mode("append").options(**options).parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        kept.scratch_path = path
+        return kept
+
     def keep_bucketed(self, df: DataFrame, name: str, key: str, buckets: int, **options: str) -> DataFrame:
         """As ``keep``, but joins and groups by ``key`` in as many partitions need no shuffle."""
         path, table = self.file(name), f"scratch_{uuid4().hex}"
         df.write.options(path=path, **options).bucketBy(buckets, key).saveAsTable(table)
         kept = self.spark.table(table)
-        kept.scratch_path = path
+        kept.scratch_path, kept.scratch_table = path, table
         return kept
 
     def drop(self, df: DataFrame | None) -> None:
         """Delete the table that ``keep`` returned; for rounds that nothing reads any more."""
         if df is not None:
+            if table := getattr(df, "scratch_table", None):
+                self.spark.sql(f"DROP TABLE {table}")
             self._delete(df.scratch_path)
 
     def close(self) -> None:

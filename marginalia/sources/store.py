@@ -10,7 +10,7 @@ from hashlib import md5
 from pyspark.sql import DataFrame, SparkSession
 
 from marginalia.operators.graph import Graph
-from marginalia.scratch import Scratch
+from marginalia.scratch import Scratch, shuffles_removed
 
 PAGES = "pages"
 VERTICES = "graph_vertices"
@@ -28,12 +28,14 @@ def save_pages(pages: DataFrame, folder: str) -> DataFrame:
     The bloom filter on the title lets a lookup by title skip row groups without any sorting.
     """
     path = f"{folder}/{PAGES}"
-    (
-        pages.select("title", "text", "edges")
-        .write.mode("overwrite")
-        .option("parquet.bloom.filter.enabled#title", "true")
-        .parquet(path)
-    )
+    with shuffles_removed(pages.sparkSession):
+        (
+            pages.select("title", "text", "edges")
+            .write.mode("overwrite")
+            .option("parquet.bloom.filter.enabled#title", "true")
+            .option("compression", "zstd")
+            .parquet(path)
+        )
     return load_pages(pages.sparkSession, folder)
 
 
@@ -111,7 +113,8 @@ def export_json(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 def save_vectors(vectors: DataFrame, folder: str) -> DataFrame:
     """Write a vector table and return it as read back."""
-    vectors.write.mode("overwrite").parquet(f"{folder}/vectors")
+    with shuffles_removed(vectors.sparkSession):
+        vectors.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/vectors")
     return load_vectors(vectors.sparkSession, folder)
 
 

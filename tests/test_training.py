@@ -1,14 +1,18 @@
 import heapq
 import math
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import plan
 from marginalia.operators import embedding as e
 from marginalia.operators import training as t
+from marginalia.scratch import Scratch
 
 
 def topics(spark, parts):
@@ -140,3 +144,53 @@ def test_a_batch_is_the_sum_of_its_pairs(size):
     expected = matrix + changes * (t.STEP / np.maximum(1, met * t.STEP / 4))[:, None]
     t._train(matrix, keys, words, tokens, sizes, 3, 0, 1, np.random.default_rng(7))
     assert np.allclose(matrix, expected, atol=1e-5)
+
+
+def test_waves_of_slices_train_the_same_model(spark, monkeypatch):
+    """Also where sums go from wave to wave. Nothing but what the vectors are read from is left behind."""
+    corpus = topics(spark, 30)
+    monkeypatch.setattr(t, "PIECE_TOKENS", 200)
+    monkeypatch.setattr(t, "BUCKET_BYTES", 2_000)
+    monkeypatch.setattr(t, "ENCODED_TOKENS", 4_000)
+    found = []
+    for size in (0, t.WAVE_BYTES):
+        monkeypatch.setattr(t, "WAVE_BYTES", size)
+        scratch = Scratch(spark)
+        vectors = t.train(corpus, 12, 4, 2, 2 * spark.sparkContext.defaultParallelism, 5, 3, scratch)
+        found.append({r.word: r.vector for r in vectors.collect()})
+        assert sorted(p.name[4:] for p in Path(scratch.path.removeprefix("file:")).iterdir()) == ["keys", "ordered", "vectors"]
+    assert len(found[0]) == 16 and found[0].keys() == found[1].keys()
+    assert all(np.allclose(found[0][word], found[1][word], atol=1e-6) for word in found[0])
+
+
+def test_a_wave_sends_its_own_vectors_only(spark, monkeypatch):
+    """What is shuffled for one wave is gone when the next one writes."""
+    left = []
+    keep = Scratch.keep_bucketed
+
+    def kept(self, *args, **options):
+        result = keep(self, *args, **options)
+        jvm = spark.sparkContext._jvm
+        manager = jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        time.sleep(0.5)
+        left.append(sum(1 for block in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in block))
+        return result
+
+    monkeypatch.setattr(Scratch, "keep_bucketed", kept)
+    monkeypatch.setattr(t, "BUCKET_BYTES", 2_000)
+    monkeypatch.setattr(t, "PIECE_TOKENS", 200)
+    monkeypatch.setattr(t, "WAVE_BYTES", 0)
+    corpus = topics(spark, 30).localCheckpoint()
+    t.train(corpus, 12, 4, 2, 2 * spark.sparkContext.defaultParallelism, 5, 3, Scratch(spark))
+    assert len(left) == 3 and max(left) <= left[0]
+
+
+def test_words_and_numbers_are_packed_whole():
+    words = pa.array(["", "né", "x" * 300, "", "語"])
+    assert t._unpacked_words(*t._packed_words(words)).equals(words)
+    assert t._unpacked_words(*t._packed_words(words[1:4])).to_pylist() == ["né", "x" * 300, ""]
+    assert t._unpacked_words(*t._packed_words(words[:0])).to_pylist() == []
+    for numbers in (np.array([-1, 0, 2**31 - 1, 258], "<i4"), np.zeros(0, "<i4")):
+        assert t._unpacked(t._packed(numbers), "<i4").tolist() == numbers.tolist()
+    keys = np.array([1, 2, 2**40, 2**62])
+    assert t._unpacked_keys(t._packed_keys(keys)).tolist() == keys.tolist()

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginalia.scratch import Scratch, shuffles_removed
+from marginalia.scratch import Scratch, held_settings, shuffles_removed
 
 # Words trained as one sentence at most, and the first and least step, as in Spark's trainer.
 SENTENCE = 1_000
@@ -50,6 +50,9 @@ ROUNDS_PER_WRITE = 4
 # Between rounds vectors travel as halves, which is half the disk; what comes of the last round as full floats.
 BETWEEN = "<f2"
 
+# Rows of many bytes go to Python a few at a time.
+BATCH_BYTES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(SENT_BYTES)}
+
 # Tokens trained at a time.
 BATCH = 128
 
@@ -396,21 +399,22 @@ def _round(dimension: int, window: int, number: int, rounds: int, buckets: int,
     kind = _kind(number, rounds)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, vectors = {}, defaultdict(list)  # of one slice, as they are dealt
+        slices, early = {}, defaultdict(list)  # of one slice, as they are dealt
         for batch in batches:
             matrices = batch.column("matrix")
             for i, row in enumerate(batch.drop_columns("matrix").to_pylist()):
                 if row["tokens"] is None:
-                    vectors[row["slice"]].append((_unpacked_keys(row["keys"]), matrices[i]))
+                    early[row["slice"]].append((_unpacked_keys(row["keys"]), matrices[i]))
                 else:
-                    rows[row["slice"]] = row
-        for of, row in rows.items():
-            words = _unpacked_keys(row["words"])
-            keys = _with_nodes(words)
-            matrix = np.empty((len(keys), dimension), np.float32) if number else _first_vectors(keys, words, dimension, seed)
-            for own, some in vectors.pop(of, ()):
-                matrix[np.searchsorted(keys, own)] = _matrix(some, len(own), BETWEEN)
-            yield from _sent(trained(row, keys, matrix))
+                    words = _unpacked_keys(row["words"])
+                    keys = _with_nodes(words)
+                    matrix = np.empty((len(keys), dimension), np.float32) if number else _first_vectors(keys, words, dimension, seed)
+                    slices[row["slice"]] = row, keys, matrix
+            for of, (_, keys, matrix) in slices.items():  # vectors wait for their slice's words only
+                for own, some in early.pop(of, ()):
+                    matrix[np.searchsorted(keys, own)] = _matrix(some, len(own), BETWEEN)
+        while slices:
+            yield from _sent(trained(*slices.popitem()[1]))
 
     return run
 
@@ -518,7 +522,8 @@ def train(corpus: DataFrame, dimension: int, window: int, iterations: int, parti
     """
     with shuffles_removed(corpus.sparkSession):
         keys, encoded, words = _laid_out(corpus, dimension, partitions, min_count, scratch)
-        vectors = _trained(encoded, words, dimension, window, iterations, seed, scratch)
+        with held_settings(corpus.sparkSession, BATCH_BYTES):
+            vectors = _trained(encoded, words, dimension, window, iterations, seed, scratch)
         scratch.drop(encoded)
     return keys.join(vectors, "key").select("word", F.col("vector").cast("array<double>").alias("vector"))
 
@@ -580,9 +585,12 @@ def _trained(encoded: DataFrame, words: int, dimension: int, window: int, iterat
                 asked = asked.repartition(buckets, "bucket").groupBy("bucket")
                 answered = model.groupBy("bucket").cogroup(asked).applyInArrow(_answered, TRAINED)
                 given = own.unionByName(answered.drop("bucket"), allowMissingColumns=True)
-            given = given.repartitionById(end - first, F.col("slice") - first)
-            dealt = given.mapInArrow(_round(dimension, window, number, iterations, buckets, seed), TRAINED)
-            dealt = dealt.repartition(buckets, "bucket").groupBy("bucket")
+            # A slice's words come before its vectors, which then need not wait for them.
+            given = given.repartitionById(end - first, F.col("slice") - first).sortWithinPartitions(F.col("tokens").isNull())
+            trained = given.mapInArrow(_round(dimension, window, number, iterations, buckets, seed), TRAINED)
+            # Written by bucket, so that what the slices were given goes before the sums are written.
+            trained = trained.repartition(buckets, "bucket") if small else scratch.keep_bucketed(trained, "trained", "bucket", buckets, **LARGE_ROWS)
+            dealt = trained.groupBy("bucket")
             over = end == slices
             rows = VECTORS if over and number == last else HELD
             if sums is None:
@@ -596,6 +604,8 @@ def _trained(encoded: DataFrame, words: int, dimension: int, window: int, iterat
                 continue
             else:
                 sums = scratch.keep_bucketed(added, "sums", "bucket", buckets, **LARGE_ROWS)
+            if not small:
+                scratch.drop(trained)
             # What went into the model that is still asked stays.
             if over:
                 while kept:

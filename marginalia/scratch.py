@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +21,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Within, the files of a shuffle go once the write or answer they were for is done, and not only when
-    the driver happens to collect its garbage. The session's own setting holds again afterwards."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+def held_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings that hold within; the session's own hold again afterwards."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def shuffles_removed(spark: SparkSession) -> AbstractContextManager[None]:
+    """Within, the files of a shuffle go once the write or answer they were for is done, and not only when
+    the driver happens to collect its garbage."""
+    return held_settings(spark, {SHUFFLE_CLEANUP: "true"})
 
 
 class Scratch:

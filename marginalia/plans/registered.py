@@ -426,8 +426,7 @@ def _tasks(spark: SparkSession) -> int:
 
 @query
 def vocabulary(spark, sf_dir):
-    tokens = Scratch(spark).keep(inputs.corpus(spark, sf_dir), "corpus")
-    return embedding.vocabulary(embedding.train_word_vectors(tokens, 16, 3, 1))
+    return embedding.vocabulary(embedding.train_word_vectors(inputs.corpus(spark, sf_dir), 16, 3, 1))
 
 
 @query
